@@ -32,16 +32,14 @@ wt AS (SELECT doc_id, token, w / sqrt(sum(w * w) OVER (PARTITION BY doc_id)) AS
 
 @query(f"WITH {_TF_SQL} SELECT token, df FROM dfs")
 def document_frequency(spark, sf):
-    counts = similar.term_counts(table(spark, sf, "documents"), "doc_id", "text")
-    return similar.document_frequency(counts)
+    return similar.document_frequency(table(spark, sf, "documents"), "text")
 
 
 @query(f"""WITH {_TF_SQL} SELECT doc_id, count(*) AS n, round(sum(w), 6) AS total, round(max(w), 6) AS top FROM wt GROUP BY doc_id""")
 def tfidf_weights(spark, sf):
     docs = table(spark, sf, "documents")
     counts = similar.term_counts(docs, "doc_id", "text")
-    idf = similar.fit_idf(counts, docs.select(F.count(F.lit(1))).scalar())
-    weights = similar.weigh(counts, idf, "doc_id")
+    weights = similar.weigh(counts, similar.fit_idf(docs, "text"), "doc_id")
     return weights.groupBy("doc_id").agg(
         F.count(F.lit(1)).alias("n"), F.round(F.sum("w"), 6).alias("total"), F.round(F.max("w"), 6).alias("top")
     )

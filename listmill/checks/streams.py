@@ -1 +1,181 @@
+"""Sources, sinks and streams: everything is written to the shared folder and read back."""
 
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from listmill import fixed
+from listmill.checks.jobs import EXTRA_NAMES, _SHOWN, clean_sql, shown
+from listmill.checks.registry import query
+from listmill.checks.views import LISTINGS_SQL, RAW_SQL, case, listings, raw_listings, table
+from listmill.functions.jsontext import encode
+from listmill.operators import records, routing
+from listmill.plans import jobs
+from listmill.schema import LISTING_MESSAGE
+from listmill.session import fresh_dir
+from listmill.sources import files, messages, tables
+from listmill.streaming import flows
+
+MESSAGE_FIELDS = [f.name for f in LISTING_MESSAGE.fields]
+_EVENTS = "event_id long, ts timestamp_ntz, user_id long, event_type string, value double, props string"
+
+
+def _event_stream(spark, sf):
+    """The events file as a topic stream: key, value, topic, timestamp."""
+    rows = messages.file_stream(spark, sf, _EVENTS, "parquet", pathGlobFilter="events.parquet")
+    return rows.select(
+        F.col("user_id").cast("string").cast("binary").alias("key"),
+        encode("event_id", "user_id", "event_type", "value").cast("binary").alias("value"),
+        F.col("event_type").alias("topic"),
+        F.col("ts").cast("timestamp").alias("timestamp"),
+    )
+
+
+_EVENT_MESSAGE = T.StructType(
+    [
+        T.StructField("event_id", T.LongType()), T.StructField("user_id", T.LongType()),
+        T.StructField("event_type", T.StringType()), T.StructField("value", T.DoubleType()),
+    ]
+)
+
+
+@query("""SELECT event_id, user_id, event_type, value, event_type AS topic, CAST(year(ts) AS INTEGER) AS year,
+CAST(month(ts) AS INTEGER) AS month, CAST(day(ts) AS INTEGER) AS day FROM events""")
+def stream_to_lake(spark, sf):
+    """Topic messages decoded and appended to the partitioned lake, which is then scanned."""
+    lake, checkpoint = fresh_dir(spark, "lake"), fresh_dir(spark, "lake-checkpoint")
+    decoded = messages.decode_messages(_event_stream(spark, sf), _EVENT_MESSAGE)
+    flows.append_lake(decoded, lake, checkpoint, F.col("kafka_timestamp"), once=True).awaitTermination()
+    return files.read_lake(spark, lake).drop("kafka_timestamp")
+
+
+@query("SELECT event_id, event_type AS topic FROM events WHERE event_type IN ('click', 'error')")
+def lake_topics(spark, sf):
+    """A lake scan that reads two topics' partitions only."""
+    lake = fresh_dir(spark, "lake")
+    events = table(spark, sf, "events").withColumnRenamed("event_type", "topic")
+    records.with_ingest_date(events, F.col("ts")).write.partitionBy("topic", "year", "month", "day").parquet(lake)
+    return files.read_lake(spark, lake, ["click", "error"]).select("event_id", "topic")
+
+
+@query("""SELECT CAST(user_id AS VARCHAR) AS key, count(*) AS n, count(DISTINCT event_id) AS ids FROM events GROUP BY 1""")
+def stream_raw_copy(spark, sf):
+    out, checkpoint = fresh_dir(spark, "copy"), fresh_dir(spark, "copy-checkpoint")
+    copy = messages.raw_copy(_event_stream(spark, sf))
+    query_ = (
+        copy.writeStream.format("parquet").option("path", out).option("checkpointLocation", checkpoint)
+        .trigger(availableNow=True).start()
+    )
+    query_.awaitTermination()
+    rows = spark.read.schema("key string, value string").parquet(out)
+    event = F.get_json_object("value", "$.event_id")
+    return rows.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.countDistinct(event).alias("ids"))
+
+
+@query("SELECT DISTINCT user_id, event_type FROM events")
+def stream_dedup(spark, sf):
+    """One event per user and kind; the delay spans the whole month, so one of each is left."""
+    out, checkpoint = fresh_dir(spark, "dedup"), fresh_dir(spark, "dedup-checkpoint")
+    rows = messages.decode_messages(_event_stream(spark, sf), _EVENT_MESSAGE)
+    unique = flows.suppress_repeats(rows, ["user_id", "event_type"], "kafka_timestamp", "60 days")
+    query_ = (
+        unique.writeStream.format("parquet").option("path", out).option("checkpointLocation", checkpoint)
+        .trigger(availableNow=True).start()
+    )
+    query_.awaitTermination()
+    return spark.read.schema(unique.schema).parquet(out).select("user_id", "event_type")
+
+
+def _message_files(spark, sf):
+    """Raw listings as JSON message files, one row per message."""
+    folder = fresh_dir(spark, "messages")
+    rows = raw_listings(spark, sf).select(*MESSAGE_FIELDS, "topic", F.col("last_ship").cast("timestamp").alias("timestamp"))
+    body = encode(*MESSAGE_FIELDS).alias("value")
+    rows.select(body, "topic", "timestamp").write.parquet(folder)
+    return folder
+
+
+_MESSAGE = "value string, topic string, timestamp timestamp"
+
+
+@query(f"""WITH {RAW_SQL}, {clean_sql(fixed.LABEL_MAP_STREAM)}
+SELECT {_SHOWN}, {case('topic', fixed.TOPIC_TABLES)} AS "table", '2024/01/02 03:04:05' AS created_at FROM ratio WHERE topic <> 'other'""")
+def job_stream_publish(spark, sf):
+    """Messages to lake and served tables through one stream; the newest version of each id is read back."""
+    moment = F.lit("2024-01-02 03:04:05").cast("timestamp")
+    stream = messages.decode_messages(messages.file_stream(spark, _message_files(spark, sf), _MESSAGE, "parquet"))
+    served, lake = fresh_dir(spark, "served"), fresh_dir(spark, "lake")
+    flows.publish_stream(
+        stream, lambda batch: jobs.stream_clean(batch, moment), served, lake, fresh_dir(spark, "publish-checkpoint"),
+        moment, once=True,
+    ).awaitTermination()
+    return shown(tables.read_latest(spark, served), "table", "created_at")
+
+
+@query(f"""WITH {RAW_SQL}, {clean_sql(fixed.LABEL_MAP_STREAM)} SELECT {_SHOWN} FROM ratio""")
+def stream_clean_equals_batch(spark, sf):
+    """The row-wise cleaning on a stream, against the SQL of the batch form."""
+    out, checkpoint = fresh_dir(spark, "cleaned"), fresh_dir(spark, "cleaned-checkpoint")
+    stream = messages.decode_messages(messages.file_stream(spark, _message_files(spark, sf), _MESSAGE, "parquet"))
+    query_ = (
+        jobs.stream_clean(stream).writeStream.format("parquet").option("path", out)
+        .option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    )
+    query_.awaitTermination()
+    return shown(spark.read.parquet(out))
+
+
+@query(f"""WITH {RAW_SQL} SELECT topic, coalesce(post_id, '') AS post_id, price, title, n_name IS NOT NULL AS has_address FROM raw""")
+def publish_json(spark, sf):
+    """Rows to JSON messages per topic and back."""
+    folder = fresh_dir(spark, "published")
+    rows = raw_listings(spark, sf).select(*MESSAGE_FIELDS, "topic")
+    messages.as_messages(rows, "topic", "post_id").write.partitionBy("topic").parquet(folder)
+    back = spark.read.parquet(folder).withColumn("timestamp", F.lit(None).cast("timestamp"))
+    decoded = messages.decode_messages(back)
+    return decoded.select(
+        "topic", F.coalesce("post_id", F.lit("")).alias("post_id"), "price", "title",
+        F.col("address.full_address").isNotNull().alias("has_address"),
+    )
+
+
+@query(f"WITH {LISTINGS_SQL} SELECT id, category, price, CAST(square AS FLOAT) AS square, no_floors, district FROM listings")
+def typed_load(spark, sf):
+    path = fresh_dir(spark, "typed")
+    tables.write_typed(listings(spark, sf), path, ["category"])
+    return spark.read.parquet(path).select("id", "category", "price", "square", "no_floors", "district")
+
+
+# Both layers write: all listings as a batch, then the priority ones again, later and re-priced.
+@query(f"""WITH {LISTINGS_SQL} SELECT id, category AS "table", CASE WHEN ward = '1-URGENT' THEN price * 2 ELSE price END AS price FROM listings""")
+def keyed_upsert(spark, sf):
+    path = fresh_dir(spark, "upsert")
+    rows = listings(spark, sf).select("id", F.col("category").alias("table"), "price", "ward")
+    rows = rows.withColumn("created_at", F.lit("2024/01/01 00:00:00"))
+    tables.append_versions(rows, path, "id", 0)
+    again = rows.where("ward = '1-URGENT'").withColumns(
+        {"price": F.col("price") * 2, "created_at": F.lit("2024/01/02 00:00:00")}
+    )
+    tables.append_versions(again, path, "id", 1)
+    return tables.read_latest(spark, path).select("id", "table", "price")
+
+
+@query(f"""WITH {LISTINGS_SQL} SELECT id, category AS "table", CASE WHEN category = 'dat_index' THEN price * 2 ELSE price END AS price FROM listings""")
+def category_overwrite(spark, sf):
+    """A second batch write replaces the tables it holds and leaves the others."""
+    path = fresh_dir(spark, "overwrite")
+    rows = listings(spark, sf).select("id", F.col("category").alias("table"), "price", "created_at")
+    tables.write_by_category(rows, path)
+    tables.write_by_category(rows.where(F.col("table") == "dat_index").withColumn("price", F.col("price") * 2), path)
+    return spark.read.parquet(path).select("id", "table", "price")
+
+
+@query(f"""WITH {RAW_SQL} SELECT post_id, title, price, topic FROM raw WHERE post_id IS NOT NULL""")
+def crawl_roundtrip(spark, sf):
+    """Crawl output per province and category as JSON lines, found again by a recursive scan."""
+    root = fresh_dir(spark, "crawl")
+    rows = raw_listings(spark, sf).where(F.col("post_id").isNotNull())
+    out = rows.select(*MESSAGE_FIELDS, F.lower("r_name").alias("slug"), F.col("topic").alias("category"))
+    tables.write_crawl_files(out, root)
+    back = files.read_crawl(spark, root, "*.json")
+    topic = F.regexp_extract("file_path", r"category=([^/]*)", 1)
+    return back.select("post_id", "title", "price", topic.alias("topic"))

@@ -7,6 +7,7 @@ import unicodedata
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from listmill import fixed
 
@@ -95,7 +96,7 @@ def trimmed_label(label: Column, default: str = fixed.LABEL_DEFAULT) -> Column:
     return F.coalesce(strip(label), F.lit(default))
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def nfc(text: pd.Series) -> pd.Series:
     """Unicode composition; Spark has no built-in for it."""
     return text.map(lambda s: unicodedata.normalize("NFC", s), na_action="ignore")

@@ -110,7 +110,7 @@ def context_line(number: Column, title: Column, price: Column, address: Column,
     """One listing as the lines shown to a reader."""
     return F.concat(
         F.lit("\n#"), number.cast("string"), F.lit(". "), F.coalesce(title, F.lit("N/A")),
-        F.lit("\n   - Giá: "), F.format_number(F.coalesce(price, F.lit(0.0)), "#,###,##0.##"), F.lit(" VNĐ"),
+        F.lit("\n   - Giá: "), F.format_number(F.coalesce(price, F.lit(0.0)), 2), F.lit(" VNĐ"),
         F.lit("\n   - Đ/C: "), F.coalesce(address, F.lit("")),
         F.lit("\n   - Link: "), F.coalesce(link, F.lit("")), F.lit("\n"),
     )

@@ -19,7 +19,7 @@ def read_lake(spark: SparkSession, path: str, topics: list[str] | None = None) -
 def read_crawl(
     spark: SparkSession, root: str, glob: str = "*batch.json*", schema: T.StructType = LISTING_MESSAGE
 ) -> DataFrame:
-    """Crawl files below ``root``, JSON lines or one JSON array per file, with ``file_name``.
+    """Crawl files below ``root``, JSON lines or one JSON array per file, with ``file_path`` and ``file_name``.
 
     Lines are read as text, which splits and never fails. A file with a line that opens an array is read as a whole
     instead. Unreadable lines and files give no rows.
@@ -27,23 +27,24 @@ def read_crawl(
     options = {"recursiveFileLookup": "true", "pathGlobFilter": glob}
     corrupt = "_corrupt_record"
     marked = T.StructType([*schema.fields, T.StructField(corrupt, T.StringType())])
-    name = F.element_at(F.split(F.col("_metadata.file_path"), "/"), -1)
+    path = F.col("_metadata.file_path").alias("file_path")
 
-    lines = spark.read.options(**options).text(root).select("value", name.alias("file_name"))
+    lines = spark.read.options(**options).text(root).select("value", path)
     parsed = lines.where(F.col("value").rlike(r"^\s*\{")).select(
-        F.from_json("value", marked, {"columnNameOfCorruptRecord": corrupt}).alias("r"), "file_name"
+        F.from_json("value", marked, {"columnNameOfCorruptRecord": corrupt}).alias("r"), "file_path"
     )
     records = parsed.where(F.col("r").isNotNull() & F.col(f"r.{corrupt}").isNull())
 
-    arrays = small(settle(lines.where(F.col("value").rlike(r"^\s*\[")).select("file_name").distinct()))
+    arrays = small(settle(lines.where(F.col("value").rlike(r"^\s*\[")).select("file_path").distinct()))
     whole = (
         spark.read.options(**options).option("multiLine", "true").option("columnNameOfCorruptRecord", corrupt)
-        .schema(marked).json(root).withColumn("file_name", name)
+        .schema(marked).json(root).select("*", path)
     )
-    in_arrays = whole.where(F.col(corrupt).isNull()).join(arrays, "file_name", "left_semi")
+    in_arrays = whole.where(F.col(corrupt).isNull()).join(arrays, "file_path", "left_semi")
     columns = [f.name for f in schema.fields]
-    from_lines = records.join(arrays, "file_name", "left_anti").select(*[f"r.{c}" for c in columns], "file_name")
-    return from_lines.unionByName(in_arrays.select(*columns, "file_name"))
+    from_lines = records.join(arrays, "file_path", "left_anti").select(*[f"r.{c}" for c in columns], "file_path")
+    rows = from_lines.unionByName(in_arrays.select(*columns, "file_path"))
+    return rows.withColumn("file_name", F.element_at(F.split("file_path", "/"), -1))
 
 
 def read_gazetteer(spark: SparkSession, path: str) -> DataFrame:
