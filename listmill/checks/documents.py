@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from listmill.checks.registry import query
-from listmill.checks.views import table
+from listmill.checks.views import documents, table
 from listmill.operators import lookback, search, similar
 
 TOKENS_SQL = r"list_filter(regexp_split_to_array(lower({}), '[^\p{{L}}\p{{N}}]+'), lambda w: w <> '')"
@@ -32,12 +32,12 @@ wt AS (SELECT doc_id, token, w / sqrt(sum(w * w) OVER (PARTITION BY doc_id)) AS
 
 @query(f"WITH {_TF_SQL} SELECT token, df FROM dfs")
 def document_frequency(spark, sf):
-    return similar.document_frequency(table(spark, sf, "documents"), "text")
+    return similar.document_frequency(documents(spark, sf), "text")
 
 
 @query(f"""WITH {_TF_SQL} SELECT doc_id, count(*) AS n, round(sum(w), 6) AS total, round(max(w), 6) AS top FROM wt GROUP BY doc_id""")
 def tfidf_weights(spark, sf):
-    docs = table(spark, sf, "documents")
+    docs = documents(spark, sf)
     counts = similar.term_counts(docs, "doc_id", "text")
     weights = similar.weigh(counts, similar.fit_idf(docs, "text"), "doc_id")
     return weights.groupBy("doc_id").agg(
@@ -48,18 +48,18 @@ def tfidf_weights(spark, sf):
 _JACCARD_SQL = f"""post AS (SELECT doc_id, len(s) AS n, unnest(s) AS t FROM
   (SELECT doc_id, list_distinct({TOKENS_SQL.format('text')}) AS s FROM documents))"""
 _JACCARD_PAIRS = """SELECT a.doc_id AS later, b.doc_id AS earlier FROM post a JOIN post b ON a.t = b.t AND b.doc_id < a.doc_id
-  GROUP BY a.doc_id, b.doc_id, a.n, b.n HAVING count(*) / (a.n + b.n - count(*)) >= 0.6"""
+  GROUP BY a.doc_id, b.doc_id, a.n, b.n HAVING count(*) / (a.n + b.n - count(*)) >= 0.7"""
 
 
 @query(f"""WITH RECURSIVE {_JACCARD_SQL}, {keep_first_sql(_JACCARD_PAIRS)}
 SELECT doc_id, doc_id IN (SELECT id FROM kept) AS kept FROM documents""")
 def near_dup_jaccard_exact(spark, sf):
-    return _decision(similar.near_duplicates_jaccard(table(spark, sf, "documents"), "doc_id", "text", 0.6), "doc_id")
+    return _decision(similar.near_duplicates_jaccard(documents(spark, sf), "doc_id", "text", 0.7), "doc_id")
 
 
 @query()
 def near_dup_lsh(spark, sf):
-    decided = similar.near_duplicates_jaccard(table(spark, sf, "documents"), "doc_id", "text", 0.6, "minhash")
+    decided = similar.near_duplicates_jaccard(documents(spark, sf), "doc_id", "text", 0.7, "minhash")
     return _decision(decided, "doc_id")
 
 
@@ -71,7 +71,7 @@ _COSINE_PAIRS = """SELECT later, earlier FROM (SELECT a.doc_id AS later, b.doc_i
 @query(f"""WITH RECURSIVE {_TF_SQL}, {keep_first_sql(_COSINE_PAIRS)}
 SELECT doc_id, doc_id IN (SELECT id FROM kept) AS kept FROM documents""")
 def near_dup_removed(spark, sf):
-    decided = similar.near_duplicates_listing(table(spark, sf, "documents"), "doc_id", "source", "text")
+    decided = similar.near_duplicates_listing(documents(spark, sf), "doc_id", "source", "text")
     return _decision(decided, "doc_id")
 
 

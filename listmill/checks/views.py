@@ -5,11 +5,17 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from listmill.session import balanced
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return balanced(table(spark, sf_dir, "documents"))
+
+
 CATEGORIES = {
     "AUTOMOBILE": "nhamatpho_index",
     "BUILDING": "nharieng_index",

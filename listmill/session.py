@@ -67,3 +67,12 @@ def small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
     if df.limit(max_rows + 1).count() <= max_rows:
         return F.broadcast(df)
     return df
+
+
+def balanced(df: DataFrame) -> DataFrame:
+    """Spread a table that lies in fewer files than there are cores, so that heavy work per row uses them all.
+
+    A large table has files enough and is handed back as it is.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if len(df.inputFiles()) < cores else df
