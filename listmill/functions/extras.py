@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from listmill import fixed
 from listmill.functions.fields import extract_number
-from listmill.functions.text import strip
+from listmill.functions.text import let, strip
 
 _WHOLE = ("no_bedrooms", "no_bathrooms", "no_floors", "yo_construction")
 
@@ -42,26 +42,33 @@ def extras_struct(extras: Column) -> Column:
     return F.when(extras.isNotNull(), F.struct(*fields))
 
 
-def first_key_with(extras: Column, words: list[str]) -> Column:
-    """Value of the first map entry whose key holds one of ``words``, in any case."""
+def first_key_with(entries: Column, words: list[str]) -> Column:
+    """Value of the first of ``struct<key, value>`` entries whose lower-cased key holds one of ``words``."""
     wanted = [F.lit(w) for w in dict.fromkeys(w.lower() for w in words)]
-    hits = F.filter(F.map_entries(extras), lambda e: reduce(or_, [F.contains(F.lower(e.key), w) for w in wanted]))
+    hits = F.filter(entries, lambda e: reduce(or_, [F.contains(e["key"], w) for w in wanted]))
     return F.get(hits, F.lit(0))["value"]
 
 
 def extras_by_word(extras: Column) -> Column:
     """Attributes by words inside the source keys, numbers taken out of dirty text."""
-    fields = []
-    for name, words in fixed.EXTRA_WORDS.items():
-        value = first_key_with(extras, words)
-        if name in _WHOLE:
-            value = extract_number(value).try_cast("int")
-        elif name in ("direction", "legal"):
-            value = strip(value)
-        else:
-            value = extract_number(value)
-        fields.append(value.alias(name))
-    return F.struct(*fields)
+
+    def read(entries: Column) -> Column:
+        fields = []
+        for name, words in fixed.EXTRA_WORDS.items():
+            value = first_key_with(entries, words)
+            if name in _WHOLE:
+                value = extract_number(value).try_cast("int")
+            elif name in ("direction", "legal"):
+                value = strip(value)
+            else:
+                value = extract_number(value)
+            fields.append(value.alias(name))
+        return F.struct(*fields)
+
+    low = F.transform(
+        F.map_entries(extras), lambda e: F.struct(F.lower(e["key"]).alias("key"), e["value"].alias("value"))
+    )
+    return let(low, read)
 
 
 def flatten(df: DataFrame, column: str = "extra_infos") -> DataFrame:

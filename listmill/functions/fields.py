@@ -6,7 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from listmill import fixed
-from listmill.functions.text import squeeze, strip
+from listmill.functions.text import let, squeeze, strip
 
 BILLION = 1e9
 MILLION = 1e6
@@ -46,8 +46,8 @@ def price_text(text: Column) -> Column:
     """Normalised price text: one decimal comma, tight slashes, lower case."""
     out = F.regexp_replace(text, r"^([^,]*),", "$1.")
     out = F.replace(F.replace(out, F.lit(" /"), F.lit("/")), F.lit("/ "), F.lit("/"))
-    out = strip(F.lower(out))
-    return F.when(F.contains(out, F.lit(fixed.PRICE_ON_REQUEST)), F.lit(fixed.PRICE_ON_REQUEST)).otherwise(out)
+    agreed = F.lit(fixed.PRICE_ON_REQUEST)
+    return let(strip(F.lower(out)), lambda t: F.when(F.contains(t, agreed), agreed).otherwise(t))
 
 
 def parse_price_crawl(text: Column, square: Column) -> Column:
@@ -55,16 +55,19 @@ def parse_price_crawl(text: Column, square: Column) -> Column:
 
     Here a unit price is multiplied by the area for both units (compare :func:`parse_price_job`).
     """
-    parts = F.split(squeeze(price_text(text)), " ")
-    number, unit = F.get(parts, F.lit(0)), F.get(parts, F.lit(1))
-    factor = (
-        F.when(unit == "tỷ", F.lit(BILLION))
-        .when(unit == "triệu", F.lit(MILLION))
-        .when(unit == "tỷ/m2", BILLION * square)
-        .when(unit == "triệu/m2", MILLION * square)
-    )
-    readable = (F.size(parts) == 2) & number.rlike(r"^([0-9]+\.?[0-9]*|\.[0-9]+)$")
-    return F.when(readable, number.try_cast("double") * factor)
+
+    def read(parts: Column) -> Column:
+        number, unit = F.get(parts, F.lit(0)), F.get(parts, F.lit(1))
+        factor = (
+            F.when(unit == "tỷ", F.lit(BILLION))
+            .when(unit == "triệu", F.lit(MILLION))
+            .when(unit == "tỷ/m2", BILLION * square)
+            .when(unit == "triệu/m2", MILLION * square)
+        )
+        readable = (F.size(parts) == 2) & number.rlike(r"^([0-9]+\.?[0-9]*|\.[0-9]+)$")
+        return F.when(readable, number.try_cast("double") * factor)
+
+    return let(F.split(squeeze(price_text(text)), " "), read)
 
 
 def parse_price_job(text: Column, square: Column) -> Column:

@@ -6,6 +6,8 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from listmill.functions.text import let
+
 _CORRUPT = "_corrupt_record"
 
 
@@ -32,9 +34,12 @@ def decode_lenient(text: Column, schema: T.StructType) -> Column:
         ": false",
     )
     closed = F.when(~F.endswith(plain, F.lit("}")), F.concat(plain, F.lit('"}')))
+
+    def whole(parsed: Column) -> Column:
+        fields = F.struct(*[parsed[f.name].alias(f.name) for f in schema.fields])
+        return F.when(parsed.isNotNull() & parsed[_CORRUPT].isNull(), fields)
+
     readings = []
     for candidate in (plain, pythonic, closed):
-        parsed = F.from_json(candidate, marked, options)
-        fields = F.struct(*[parsed[f.name].alias(f.name) for f in schema.fields])
-        readings.append(F.when(parsed.isNotNull() & parsed[_CORRUPT].isNull(), fields))
+        readings.append(let(F.from_json(candidate, marked, options), whole))
     return F.coalesce(*readings)

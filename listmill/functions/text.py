@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import unicodedata
+from collections.abc import Callable
 
 import pandas as pd
 from pyspark.sql import Column
@@ -22,6 +23,11 @@ EMOJI = (
 _MARKS = r"""!"#$%&'()*+,\-/:;<=>?@\[\]^_`{|}~"""
 
 
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` over a value that is computed once per row, however often the body uses it."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def strip(text: Column) -> Column:
     """Trim white space of every kind on both ends."""
     return F.regexp_replace(text, rf"^[{SPACE}]+|[{SPACE}]+$", "")
@@ -68,7 +74,7 @@ def collapse_punctuation(text: Column) -> Column:
 
 
 def _capitalise(text: Column) -> Column:
-    return F.concat(F.upper(F.substring(text, 1, 1)), F.lower(F.substring(text, 2, 1_000_000_000)))
+    return let(text, lambda t: F.concat(F.upper(F.substring(t, 1, 1)), F.lower(F.substring(t, 2, 1_000_000_000))))
 
 
 def lookup(value: Column, table: dict, default: Column | None = None) -> Column:
@@ -83,7 +89,8 @@ def category_label(label: Column, table: dict | None = None) -> Column:
     out = label
     for prefix in fixed.LABEL_PREFIXES:
         out = _capitalise(strip(F.replace(out, F.lit(prefix), F.lit(""))))
-    return _filled(label, lookup(out, fixed.LABEL_MAP_BATCH if table is None else table, out))
+    known = fixed.LABEL_MAP_BATCH if table is None else table
+    return _filled(label, let(out, lambda name: lookup(name, known, name)))
 
 
 def simple_clean(text: Column) -> Column:
@@ -119,9 +126,12 @@ def clean_phones(phones: Column) -> Column:
 
 def label_value(line: Column) -> Column:
     """Split ``label: value`` into a struct; null unless the line has exactly one colon."""
-    parts = F.split(line, ":")
-    pair = F.struct(squeeze(F.get(parts, F.lit(0))).alias("label"), squeeze(F.get(parts, F.lit(1))).alias("value"))
-    return F.when(F.size(parts) == 2, pair)
+
+    def pair(parts: Column) -> Column:
+        label, value = (squeeze(F.get(parts, F.lit(i))) for i in (0, 1))
+        return F.when(F.size(parts) == 2, F.struct(label.alias("label"), value.alias("value")))
+
+    return let(F.split(line, ":"), pair)
 
 
 def contains_any_case(text: Column, part: Column) -> Column:
