@@ -9,6 +9,7 @@ from listmill import fixed
 from listmill.functions import extras, fields, text
 from listmill.operators import evaluate, gazetteer, market, outliers, records, routing, similar
 from listmill.functions.predicates import listing_type
+from listmill.session import settle
 from listmill.sources.messages import as_messages
 
 
@@ -63,7 +64,8 @@ def file_etl(crawl: DataFrame, position: str, moment: Column | None = None, min_
     out = extras.flatten(records.flatten_address(out))
     out = records.first_per_key(out, ["file_name", "title", "description"], position)
     out = out.withColumn("price_per_m2", fields.unit_price(F.col("price"), F.col("square")))
-    out = out.withColumn("_scope", _scoped("file_name", "estate_type"))
+    # read three times from here on: settled once, rather than de-duplicated three times
+    out = settle(out.withColumn("_scope", _scoped("file_name", "estate_type")))
     bounds = outliers.exact_bounds(out, "_scope", "price_per_m2", min_rows=min_rows)
     kept = outliers.trim(out, bounds, "_scope", "price_per_m2", keep_null=True).drop("_scope")
     return records.typed(records.with_created_at(kept, F.current_timestamp() if moment is None else moment))

@@ -9,9 +9,9 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-# A side is broadcast only when its counted rows stay within this bound; above it the join shuffles and AQE splits
-# skewed partitions.
-BROADCAST_ROWS = 100_000
+# A side is broadcast only when its counted rows, a few narrow columns each, stay within this bound; above it the join
+# shuffles and AQE splits skewed partitions.
+BROADCAST_ROWS = 500_000
 
 
 def local_session(cpus: str = "*", app: str = "listmill", **conf: str) -> SparkSession:
