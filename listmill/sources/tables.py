@@ -1,4 +1,4 @@
-"""Served tables on plain Parquet: partitioned by table and key bucket, written per partition, upserted by key."""
+"""Served tables on plain Parquet: partitioned by table, written per partition, upserted by key."""
 
 from __future__ import annotations
 
@@ -8,8 +8,6 @@ from pyspark.sql import functions as F
 from listmill.operators.records import first_per_key, typed
 from listmill.session import fresh_dir
 
-BUCKETS = 64
-
 
 def write_by_category(df: DataFrame, path: str, key: str = "id", table: str = "table", version: str = "created_at") -> None:
     """Keyed batch write: the last version per key, replacing only the tables present in ``df``."""
@@ -32,17 +30,13 @@ def write_crawl_files(df: DataFrame, root: str) -> None:
     df.write.mode("overwrite").partitionBy("slug", "category").json(root)
 
 
-def _bucketed(df: DataFrame, key: str, buckets: int) -> DataFrame:
-    return df.withColumn("key_bucket", F.pmod(F.xxhash64(key), F.lit(buckets)).cast("int"))
-
-
-def append_versions(df: DataFrame, path: str, key: str, batch: int, buckets: int = BUCKETS) -> None:
+def append_versions(df: DataFrame, path: str, key: str, batch: int) -> None:
     """Keyed upsert as one immutable folder per batch: last row per key, rewritten whole when a batch is repeated.
 
     Nothing already written is read or moved, so the cost of an upsert is the size of the batch. Readers take the
     newest version per key (:func:`read_latest`); :func:`compact` folds the folders from time to time.
     """
-    rows = _bucketed(first_per_key(df, ["table", key], F.col("created_at").desc_nulls_last()), key, buckets)
+    rows = first_per_key(df, ["table", key], F.col("created_at").desc_nulls_last())
     (
         rows.withColumn("batch", F.lit(batch)).write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic").partitionBy("batch", "table").parquet(path)
@@ -54,7 +48,7 @@ def read_latest(spark: SparkSession, path: str, key: str = "id") -> DataFrame:
     rows = spark.read.parquet(path)
     return first_per_key(
         rows, ["table", key], F.col("created_at").desc_nulls_last(), F.desc("batch")
-    ).drop("batch", "key_bucket")
+    ).drop("batch")
 
 
 def compact(spark: SparkSession, path: str, key: str = "id") -> str:
