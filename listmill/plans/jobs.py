@@ -100,6 +100,8 @@ def ingest_clean(crawled: DataFrame, places: DataFrame, position: str, slugs: di
             "post_date": F.date_format(fields.parse_post_date(F.col("post_date")), "yyyy/MM/dd"),
         }
     )
+    # the comparison reads the cleaned rows several times
+    out = settle(out)
     decided = similar.near_duplicates_listing(out, position, "title", "description")
     kept = decided.where(F.col("kept_as") == F.col(position)).select(position)
     return out.join(kept, position, "left_semi")
