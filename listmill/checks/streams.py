@@ -90,7 +90,8 @@ def _message_files(spark, sf):
     folder = fresh_dir(spark, "messages")
     rows = raw_listings(spark, sf).select(*MESSAGE_FIELDS, "topic", F.col("last_ship").cast("timestamp").alias("timestamp"))
     body = encode(*MESSAGE_FIELDS).alias("value")
-    rows.select(body, "topic", "timestamp").write.parquet(folder)
+    # several files, as a topic has several partitions
+    rows.select(body, "topic", "timestamp").repartition(8).write.parquet(folder)
     return folder
 
 
