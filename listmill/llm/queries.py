@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from listmill.llm import bpe, counts
+from listmill.llm import bpe, counts, embeddings, langid, licenses, pii, sharding
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -25,6 +25,31 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+@query
+def op1_sharding(spark, sf):
+    return sharding.report(table(spark, sf, "documents"), shards=8)
+
+
+@query
+def op2_embedding_near_dup(spark, sf):
+    return embeddings.near_duplicates(table(spark, sf, "embeddings"))
+
+
+@query
+def op3_language_id(spark, sf):
+    return langid.identify(table(spark, sf, "documents"))
+
+
+@query
+def op4_license_scan(spark, sf):
+    return licenses.report(table(spark, sf, "documents"))
+
+
+@query
+def op5_personal_data(spark, sf):
+    return pii.report(table(spark, sf, "documents"))
+
+
 @query
 def op7_byte_bpe(spark, sf):
     return bpe.digests(spark, table(spark, sf, "documents"), RANKS)
