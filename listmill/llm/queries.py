@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from listmill.llm import bpe, counts, embeddings, langid, licenses, pii, sharding
+from listmill.llm import bpe, counts, embeddings, langid, licenses, ngram_join, pii, sharding
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -50,6 +50,11 @@ def op5_personal_data(spark, sf):
     return pii.report(table(spark, sf, "documents"))
 
 
+@query
+def op6_ngram_jaccard(spark, sf):
+    return ngram_join.jaccard_components(table(spark, sf, "documents"), n=4, percent=85)
+
+
 @query
 def op7_byte_bpe(spark, sf):
     return bpe.digests(spark, table(spark, sf, "documents"), RANKS)
