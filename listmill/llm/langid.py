@@ -218,6 +218,25 @@ def predict(df: DataFrame, profiles: Profiles, key: str = "doc_id", text: str =
     return narrow.mapInArrow(task, schema).withColumnRenamed("key", key)
 
 
+def keep(df: DataFrame, profiles: Profiles, least: float, text: str = "text") -> DataFrame:
+    """The rows, with all their columns, whose text has a language with a score of ``least`` or more."""
+    sent = df.sparkSession.sparkContext.broadcast(profiles)
+    place = df.columns.index(text)
+
+    def task(batches):
+        own = sent.value
+        for batch in batches:
+            data, offsets = bytes_of(batch.column(place))
+            good = [np.zeros(0, bool)]
+            for low, high in pieces(offsets):
+                part = offsets[low : high + 1]
+                best, score = own.predict(data[part[0] : part[-1]], part - part[0])
+                good.append((best >= 0) & (score >= least))
+            yield batch.filter(pa.array(np.concatenate(good)))
+
+    return small_batches(df).mapInArrow(task, df.schema)
+
+
 def held_out(key: str = "doc_id"):
     """Whether the CRC-32 of the key's text divides by 5; a null key counts as the empty text."""
     return F.crc32(F.coalesce(F.col(key).cast("string"), F.lit("")).cast("binary")) % 5 == 0

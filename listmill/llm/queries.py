@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from listmill.llm import bpe, counts, decontaminate, embeddings, langid, licenses, ngram_join, pii, sharding
+from listmill.llm import bpe, counts, decontaminate, embeddings, langid, licenses, lm, ngram_join, pii, sharding
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -60,6 +60,11 @@ def op7_byte_bpe(spark, sf):
     return bpe.digests(spark, table(spark, sf, "documents"), RANKS)
 
 
+@query
+def op8_lm_scores(spark, sf):
+    return lm.scores(table(spark, sf, "documents"), RANKS)
+
+
 @query
 def op9_benchmark_decontamination(spark, sf):
     return decontaminate.contaminated(table(spark, sf, "documents"), table(spark, sf, "benchmark"))
