@@ -102,7 +102,8 @@ def numbered(df: DataFrame, order: list[str]) -> DataFrame:
 
 
 def assign(df: DataFrame, order: list[str], shards: int = 8, seed: int = SEED) -> DataFrame:
-    """``df`` with row_number, shard and slot."""
+    """``df`` with row_number, shard and slot; columns of these names that are not in the order are replaced."""
+    df = df.drop(*(c for c in ("row_number", "shard", "slot", "_number") if c not in order))
     rows = numbered(df, order)
     total = df.count()
 
