@@ -66,15 +66,15 @@ def letters_of(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.nd
 
 
 def grams(codes: np.ndarray, bits: int) -> list[tuple[np.ndarray, np.ndarray]]:
-    """For n = 1, 2, 3: the places where an n-gram starts and its code. An n-gram lies within one padded word."""
+    """For n = 1, 2, 3: the place of a letter of each n-gram and its code. An n-gram lies within one padded word."""
     codes = codes.astype(np.int64)
     one = np.flatnonzero(codes != 0)
     two = np.flatnonzero((codes[1:] != 0) | (codes[:-1] != 0))
     three = np.flatnonzero(codes[1:-1] != 0)
     return [
         (one, codes[one]),
-        (two, (codes[two] << bits) | codes[two + 1]),
-        (three, (codes[three] << (2 * bits)) | (codes[three + 1] << bits) | codes[three + 2]),
+        (two + (codes[two] == 0), (codes[two] << bits) | codes[two + 1]),
+        (three + 1, (codes[three] << (2 * bits)) | (codes[three + 1] << bits) | codes[three + 2]),
     ]
 
 
@@ -123,7 +123,7 @@ class Profiles:
             ranks = keyed.setdefault(code, np.full(len(self.names), -1, np.int64))
             ranks[place[name]] = rank
         self.keys = np.array(sorted(keyed), np.int64)
-        self.ranks = np.array([keyed[int(k)] for k in self.keys], np.int64).reshape(-1, len(self.names))
+        self.ranks = np.array([keyed[int(k)] for k in self.keys], np.int64).reshape(len(keyed), len(self.names))
 
     def code(self, points: np.ndarray) -> np.ndarray:
         at = np.minimum(np.searchsorted(self.alphabet, points), len(self.alphabet) - 1)
