@@ -71,10 +71,16 @@ def lambda_merge(spark, sf):
     return records.merge_views(*_views(spark, sf))
 
 
-@query("""SELECT l_orderkey AS id, max(l_shipdate)::DATE AS version, count(*) AS versions FROM lineitem GROUP BY l_orderkey""")
+@query("""SELECT l_orderkey AS id, max(l_shipdate)::DATE AS version, count(*) AS versions,
+arg_max(l_partkey, row(l_shipdate, l_linenumber, l_partkey)) AS part, max(row(l_shipdate, l_linenumber, l_partkey))[2] AS line
+FROM lineitem GROUP BY l_orderkey""")
 def latest_version(spark, sf):
-    lines = table(spark, sf, "lineitem").select(F.col("l_orderkey").alias("id"), F.to_date("l_shipdate").alias("version"))
-    latest = records.latest_per_id(lines, "id", "version")
+    """The line shipped last, of equal dates the one with the highest number and part."""
+    lines = table(spark, sf, "lineitem").select(
+        F.col("l_orderkey").alias("id"), F.to_date("l_shipdate").alias("version"), F.col("l_partkey").alias("part"),
+        F.col("l_linenumber").alias("line"),
+    )
+    latest = records.latest_per_id(lines, "id", "version", F.desc("line"), F.desc("part"))
     counts = lines.groupBy("id").agg(F.count(F.lit(1)).alias("versions"))
     return latest.join(counts, "id")
 
@@ -151,8 +157,17 @@ def context_window(spark, sf):
     return turns.select("conv_id", "turn", F.array_join(shown, ",").alias("context"))
 
 
-@query("""SELECT conv_id, CAST(turn // 500 AS INTEGER) AS part, string_agg(role || ': ' || text || chr(10), '' ORDER BY turn) AS transcript
-FROM conversations GROUP BY 1, 2""")
+# Positions with gaps, most of them beyond the border of a block.
+@query("""SELECT conv_id, turn * turn * 97 AS place, coalesce(string_agg(role || ':' || md5(text), ',') OVER
+(PARTITION BY conv_id ORDER BY turn ROWS BETWEEN 4 PRECEDING AND 1 PRECEDING), '') AS context FROM conversations""")
+def context_window_gaps(spark, sf):
+    turns = table(spark, sf, "conversations").withColumn("place", F.col("turn") * F.col("turn") * 97)
+    turns = conversations.context_window(turns, "conv_id", "place", ["role", "text"])
+    shown = F.transform("context", lambda t: F.concat(t["role"], F.lit(":"), F.md5(t["text"])))
+    return turns.select("conv_id", "place", F.array_join(shown, ",").alias("context"))
+
+
+@query("""SELECT conv_id, string_agg(role || ': ' || text || chr(10), '' ORDER BY turn) AS transcript FROM conversations GROUP BY 1""")
 def transcript(spark, sf):
     return conversations.transcript(table(spark, sf, "conversations"), "conv_id", "turn", "role", "text")
 

@@ -152,11 +152,16 @@ def keyed_upsert(spark, sf):
     path = fresh_dir(spark, "upsert")
     rows = listings(spark, sf).select("id", F.col("category").alias("table"), "price", "ward")
     rows = rows.withColumn("created_at", F.lit("2024/01/01 00:00:00"))
-    tables.append_versions(rows, path, "id", 0)
+    # in each batch older messages of the same stamp stand beside the last one of a key
+    older = rows.withColumns({"price": -F.col("price"), "kafka_offset": F.lit(1)})
+    rows = rows.withColumn("kafka_offset", F.lit(2))
+    tables.append_versions(rows.unionByName(older).repartition(4), path, "id", 0)
     again = rows.where("ward = '1-URGENT'").withColumns(
         {"price": F.col("price") * 2, "created_at": F.lit("2024/01/02 00:00:00")}
     )
-    tables.append_versions(again, path, "id", 1)
+    # a first attempt at the second batch, with other tables in it, is replaced as a whole
+    tables.append_versions(rows.withColumns({"price": F.lit(0.0), "table": F.lit("wrong")}), path, "id", 1)
+    tables.append_versions(again.unionByName(again.withColumns({"price": F.lit(-1.0), "kafka_offset": F.lit(1)})), path, "id", 1)
     return tables.read_latest(spark, path).select("id", "table", "price")
 
 
@@ -170,13 +175,32 @@ def category_overwrite(spark, sf):
     return spark.read.parquet(path).select("id", "table", "price")
 
 
-@query(f"""WITH {RAW_SQL} SELECT post_id, title, price, topic FROM raw WHERE post_id IS NOT NULL""")
+@query(f"""WITH {RAW_SQL} SELECT post_id, title, price, topic FROM raw""")
 def crawl_roundtrip(spark, sf):
     """Crawl output per province and category as JSON lines, found again by a recursive scan."""
     root = fresh_dir(spark, "crawl")
-    rows = raw_listings(spark, sf).where(F.col("post_id").isNotNull())
+    rows = raw_listings(spark, sf)
     out = rows.select(*MESSAGE_FIELDS, F.lower("r_name").alias("slug"), F.col("topic").alias("category"))
     tables.write_crawl_files(out, root)
     back = files.read_crawl(spark, root, "*.json")
     topic = F.regexp_extract("file_path", r"category=([^/]*)", 1)
     return back.select("post_id", "title", "price", topic.alias("topic"))
+
+
+@query("""SELECT CAST(o_orderkey AS VARCHAR) AS post_id, CASE WHEN o_orderkey % 5 <> 0 THEN round(o_totalprice, 2) END AS square,
+o_orderkey % 2 = 0 AS in_array FROM orders""")
+def crawl_mixed_files(spark, sf):
+    """Lines with stray ones between them and indented arrays, some with text in a number's place."""
+    root = fresh_dir(spark, "mixed")
+    square = F.when(F.col("o_orderkey") % 5 == 0, '"wide"').otherwise(F.round("o_totalprice", 2).cast("decimal(18,2)").cast("string"))
+    body = F.format_string('{"post_id": "%s", "square": %s}', F.col("o_orderkey").cast("string"), square)
+    rows = table(spark, sf, "orders").select("o_orderkey", body.alias("value"))
+    lines = rows.where("o_orderkey % 2 <> 0")
+    stray = lines.where("o_orderkey % 7 = 0").select(F.explode(F.array(F.lit("[broken"), F.lit("{no record"), F.lit("  "))).alias("value"))
+    # the strays stand behind a record in every file
+    held = lines.select("value", F.lit(0).alias("n")).unionByName(stray.withColumn("n", F.lit(1)))
+    held.repartition(3).sortWithinPartitions("n").select("value").write.text(f"{root}/lines")
+    arrays = rows.where("o_orderkey % 2 = 0").groupBy(F.expr("o_orderkey div 64")).agg(F.array_join(F.collect_list("value"), ",\n  ").alias("v"))
+    arrays.select(F.concat(F.lit("\n[\n  "), "v", F.lit("\n]")).alias("value")).repartition(4).write.option("maxRecordsPerFile", "1").text(f"{root}/arrays")
+    back = files.read_crawl(spark, root, "*.txt")
+    return back.select("post_id", "square", F.col("file_path").contains("/arrays/").alias("in_array"))

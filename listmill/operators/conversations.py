@@ -8,34 +8,40 @@ from pyspark.sql import Window as W
 
 
 def context_window(df: DataFrame, key: str, position: str, columns: list[str], size: int = 4, block: int = 256) -> DataFrame:
-    """The ``size`` rows before each row of a conversation, as an array.
+    """The ``size`` rows before each row of a conversation, as an array; positions may have gaps.
 
-    ``position`` counts the rows of a conversation without gaps. A long conversation is cut into blocks that carry the
-    last rows of the block before, so no conversation has to fit one task.
+    A long conversation is cut into blocks of positions. A block starts with what the blocks before it end with: the last
+    ``size`` rows of each block are enough to find that, so only they of a conversation meet in one task.
     """
-    own = F.floor(F.col(position) / block)
-    tail = F.col(position) % block >= block - size
-    blocks = F.when(tail, F.array(own, own + 1)).otherwise(F.array(own))
-    spread = df.withColumn("_own", own).withColumn("_block", F.explode(blocks))
+    rows = df.withColumn("_block", F.floor(F.col(position) / block))
+    item = F.struct(*columns)
+    last = F.row_number().over(W.partitionBy(key, "_block").orderBy(F.desc(position)))
+    ends = rows.withColumn("_last", last).where(F.col("_last") <= size)
+    ends = ends.select(key, "_block", F.col(position).alias("_at"), item.alias("_item"))
+    whole = W.partitionBy(key).orderBy("_at")
+    # at the first of a block's last rows, the rows before it belong to other blocks
+    carried = ends.withColumn("_carried", F.collect_list("_item").over(whole.rowsBetween(-size, -1)))
+    carried = carried.withColumn("_before", F.lag("_block").over(whole)).where(F.col("_before") != F.col("_block"))
     before = W.partitionBy(key, "_block").orderBy(position).rowsBetween(-size, -1)
-    out = spread.withColumn("context", F.collect_list(F.struct(*columns)).over(before))
-    return out.where(F.col("_own") == F.col("_block")).drop("_own", "_block")
+    out = rows.withColumn("context", F.collect_list(item).over(before))
+    out = out.join(carried.select(key, "_block", "_carried"), [key, "_block"], "left")
+    short = F.greatest(F.lit(0), F.lit(size) - F.size("context"))
+    filled = F.coalesce("_carried", F.filter("context", lambda c: F.lit(False)))
+    filled = F.slice(filled, F.greatest(F.lit(1), F.size(filled) - short + 1), short)
+    return out.withColumn("context", F.concat(filled, "context")).select(*df.columns, "context")
 
 
-def transcript(df: DataFrame, key: str, position: str, role: str, text: str, lines: int = 500) -> DataFrame:
-    """Conversations as ``role: text`` lines, ``(key, part, transcript)``.
+def transcript_lines(df: DataFrame, key: str, position: str, role: str, text: str) -> DataFrame:
+    """``(key, position, line)`` with a turn as ``role: text`` and a line end: the form without any bound."""
+    line = F.concat(F.coalesce(F.col(role), F.lit("unknown")), F.lit(": "), F.coalesce(F.col(text), F.lit("")), F.lit("\n"))
+    return df.select(key, position, line.alias("line"))
 
-    A part holds ``lines`` turns; longer conversations go on in the next part, so nothing is cut and no group grows
-    without bound.
-    """
-    line = F.struct(
-        F.col(position).alias("p"),
-        F.concat(F.coalesce(F.col(role), F.lit("unknown")), F.lit(": "), F.coalesce(F.col(text), F.lit("")), F.lit("\n"))
-        .alias("line"),
-    )
-    part = F.floor(F.col(position) / lines).cast("int").alias("part")
-    grouped = df.groupBy(key, part).agg(F.array_sort(F.collect_list(line)).alias("l"))
-    return grouped.select(key, "part", F.array_join(F.col("l.line"), "").alias("transcript"))
+
+def transcript(df: DataFrame, key: str, position: str, role: str, text: str) -> DataFrame:
+    """One text per conversation, ``(key, transcript)``: its lines in order, however many there are."""
+    line = F.struct(F.col(position).alias("p"), "line")
+    grouped = transcript_lines(df, key, position, role, text).groupBy(key).agg(F.array_sort(F.collect_list(line)).alias("l"))
+    return grouped.select(key, F.array_join(F.col("l.line"), "").alias("transcript"))
 
 
 def upsert(current: DataFrame, updates: DataFrame, key: str) -> DataFrame:

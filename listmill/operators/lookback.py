@@ -19,13 +19,15 @@ def similar_pairs(
 
     ``position`` is the unique arrival number. Items are cut into blocks of ``look_back`` positions; a block is compared
     with itself and the one before, so a task holds at most two blocks, whatever the table's size, and each item
-    travels twice. The products of two blocks are one matrix multiplication.
+    travels twice. The products of two blocks are one matrix multiplication. Items without a vector, or with a null in
+    it, are like nothing; vectors of different lengths are not compared.
     """
     block = F.floor(F.col(position) / look_back)
     rows = df.select(
         F.col(position).cast("long").alias("pos"), F.col(title).cast("string").alias("title"),
         F.col(vector).cast("array<double>").alias("vec"), block.cast("long").alias("own"),
     )
+    rows = rows.where(F.col("vec").isNotNull() & ~F.exists("vec", lambda x: x.isNull())).withColumn("length", F.size("vec"))
     # every block is the "later" side once and the "earlier" side for itself and for the next block
     spread = rows.withColumn("block", F.explode(F.array(F.col("own"), F.col("own") + 1)))
 
@@ -51,4 +53,4 @@ def similar_pairs(
                               "cosine": pd.Series(dtype="float64")})
         return pd.concat([empty, *found], ignore_index=True)
 
-    return spread.groupBy("block").applyInPandas(compare, "later long, earlier long, cosine double")
+    return spread.groupBy("block", "length").applyInPandas(compare, "later long, earlier long, cosine double")

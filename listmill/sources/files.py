@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from urllib.parse import unquote
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from listmill.schema import LISTING_MESSAGE
-from listmill.session import settle, small
 
 
 def read_lake(spark: SparkSession, path: str, topics: list[str] | None = None) -> DataFrame:
@@ -16,37 +17,69 @@ def read_lake(spark: SparkSession, path: str, topics: list[str] | None = None) -
     return lake if topics is None else lake.where(F.col("topic").isin(topics))
 
 
+def _as_text(schema: T.StructType) -> T.StructType:
+    """The schema with its top numbers as text, so that a mistyped field does not spoil its record."""
+    plain = lambda t: t if isinstance(t, (T.StructType, T.ArrayType, T.MapType)) else T.StringType()
+    return T.StructType([T.StructField(f.name, plain(f.dataType)) for f in schema.fields])
+
+
+def _typed_as(schema: T.StructType) -> list[Column]:
+    return [F.col(f.name) if f.dataType == T.StringType() else F.col(f.name).try_cast(f.dataType).alias(f.name)
+            if not isinstance(f.dataType, (T.StructType, T.ArrayType, T.MapType)) else F.col(f.name) for f in schema.fields]
+
+
+def _crawl_lines(spark: SparkSession, root: str, glob: str) -> tuple[DataFrame, list[str]]:
+    """All lines with their file, and the files whose first line that is not blank opens an array."""
+    reader = spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", glob)
+    lines = reader.text(root).select(
+        "value", F.col("_metadata.file_path").alias("file_path"), F.col("_metadata.file_block_start").alias("start")
+    )
+    filled = lines.where(F.trim("value") != "").withColumn("line", F.monotonically_increasing_id())
+    # lines of one split are numbered in order, and the first line is in the first split
+    first = filled.groupBy("file_path").agg(F.min_by(F.substring(F.ltrim("value"), 1, 1), F.struct("start", "line")).alias("sign"))
+    # file names only, which the driver lists for any scan of the folder
+    arrays = [r["file_path"] for r in first.where(F.col("sign") == "[").select("file_path").collect()]
+    return lines.select("value", "file_path").where(F.trim("value") != ""), arrays
+
+
 def read_crawl(
     spark: SparkSession, root: str, glob: str = "*batch.json*", schema: T.StructType = LISTING_MESSAGE
 ) -> DataFrame:
     """Crawl files below ``root``, JSON lines or one JSON array per file, with ``file_path`` and ``file_name``.
 
-    Lines are read as text, which splits and never fails. A file with a line that opens an array is read as a whole
-    instead. Unreadable lines and files give no rows.
+    The first character of a file tells its form. Lines are read as text, which splits and never fails; only files that hold an
+    array are read as a whole. A field of a wrong type is null and its record stays. Lines that hold no record are
+    left to :func:`crawl_rejects`, unreadable arrays give no rows.
     """
-    options = {"recursiveFileLookup": "true", "pathGlobFilter": glob}
-    corrupt = "_corrupt_record"
-    marked = T.StructType([*schema.fields, T.StructField(corrupt, T.StringType())])
-    path = F.col("_metadata.file_path").alias("file_path")
-
-    lines = spark.read.options(**options).text(root).select("value", path)
-    parsed = lines.where(F.col("value").rlike(r"^\s*\{")).select(
-        F.from_json("value", marked, {"columnNameOfCorruptRecord": corrupt}).alias("r"), "file_path"
-    )
-    records = parsed.where(F.col("r").isNotNull() & F.col(f"r.{corrupt}").isNull())
-
-    arrays = small(settle(lines.where(F.col("value").rlike(r"^\s*\[")).select("file_path").distinct()))
-    whole = (
-        spark.read.options(**options).option("multiLine", "true").option("columnNameOfCorruptRecord", corrupt)
-        .schema(marked).json(root).select("*", path)
-    )
-    in_arrays = whole.where(F.col(corrupt).isNull()).join(arrays, "file_path", "left_semi")
-    columns = [f.name for f in schema.fields]
-    from_lines = records.join(arrays, "file_path", "left_anti").select(*[f"r.{c}" for c in columns], "file_path")
-    rows = from_lines.unionByName(in_arrays.select(*columns, "file_path"))
+    lines, arrays = _crawl_lines(spark, root, glob)
+    lenient = _as_text(schema)
+    parsed = lines.where(~F.col("file_path").isin(arrays)).where(F.col("value").rlike(r"^\s*\{"))
+    parsed = parsed.select(F.from_json("value", lenient).alias("r"), "file_path").where(_filled("r", lenient))
+    rows = parsed.select("r.*", "file_path").select(*_typed_as(schema), "file_path")
+    if arrays:
+        paths = [unquote(p) for p in arrays]
+        whole = spark.read.option("multiLine", "true").schema(lenient).json(paths).select("*", F.col("_metadata.file_path").alias("file_path"))
+        held = whole.select(F.struct(*lenient.names).alias("r"), "file_path").where(_filled("r", lenient))
+        rows = rows.unionByName(held.select("r.*", "file_path").select(*_typed_as(schema), "file_path"))
     return rows.withColumn("file_name", F.element_at(F.split("file_path", "/"), -1))
 
 
+def _filled(record: str, schema: T.StructType) -> Column:
+    """Whether any field of a record could be read."""
+    return F.coalesce(*[F.when(F.col(f"{record}.{c}").isNotNull(), True) for c in schema.names], F.lit(False))
+
+
+def crawl_rejects(
+    spark: SparkSession, root: str, glob: str = "*batch.json*", schema: T.StructType = LISTING_MESSAGE
+) -> DataFrame:
+    """The lines of line files that hold no readable record, with their file."""
+    lines, arrays = _crawl_lines(spark, root, glob)
+    lenient = _as_text(schema)
+    record = F.when(F.col("value").rlike(r"^\s*\{"), F.from_json("value", lenient))
+    parsed = lines.where(~F.col("file_path").isin(arrays)).withColumn("r", record)
+    return parsed.where(F.col("r").isNull() | ~_filled("r", lenient)).select("value", "file_path")
+
+
 def read_gazetteer(spark: SparkSession, path: str) -> DataFrame:
     """Nested ``{province: {prefix, district: {prefix, ward: {prefix}}}}`` as
     ``(level, province, district, ward, prefix, ord)`` in file order."""

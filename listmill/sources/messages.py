@@ -34,10 +34,14 @@ def file_stream(
 
 
 def decode_messages(stream: DataFrame, schema: T.StructType = LISTING_MESSAGE) -> DataFrame:
-    """Payload columns plus ``topic`` and ``kafka_timestamp``; malformed payloads give nulls."""
+    """Payload columns plus ``topic`` and ``kafka_timestamp``; malformed payloads give nulls.
+
+    Partition and offset go along where the source has them: they order messages of one time.
+    """
     body = decode(F.col("value"), schema).alias("data")
-    return stream.select(body, "topic", F.col("timestamp").alias("kafka_timestamp")).select(
-        "data.*", "topic", "kafka_timestamp"
+    place = [F.col(c).alias(f"kafka_{c}") for c in ("partition", "offset") if c in stream.columns]
+    return stream.select(body, "topic", F.col("timestamp").alias("kafka_timestamp"), *place).select(
+        "data.*", "topic", "kafka_timestamp", *[f"kafka_{c}" for c in ("partition", "offset") if c in stream.columns]
     )
 
 

@@ -9,9 +9,18 @@ from listmill.operators.records import first_per_key, typed
 from listmill.session import fresh_dir
 
 
+# Where a row stands in its source, the most telling first: message time, then partition and offset.
+ARRIVAL = ("kafka_timestamp", "kafka_offset", "kafka_partition")
+
+
+def _newest(df: DataFrame, version: str = "created_at") -> list:
+    """Order in which the last version of a key comes first; versions of one stamp go by their arrival."""
+    return [F.col(c).desc_nulls_last() for c in (version, *ARRIVAL) if c in df.columns]
+
+
 def write_by_category(df: DataFrame, path: str, key: str = "id", table: str = "table", version: str = "created_at") -> None:
     """Keyed batch write: the last version per key, replacing only the tables present in ``df``."""
-    rows = first_per_key(df, [table, key], F.col(version).desc_nulls_last())
+    rows = first_per_key(df, [table, key], *_newest(df, version))
     (
         rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(table).parquet(path)
     )
@@ -33,13 +42,19 @@ def write_crawl_files(df: DataFrame, root: str) -> None:
 def append_versions(df: DataFrame, path: str, key: str, batch: int) -> None:
     """Keyed upsert as one immutable folder per batch: last row per key, rewritten whole when a batch is repeated.
 
+    All rows of a batch have its stamp, so the last row is that of the last message: by message time, offset, partition.
     Nothing already written is read or moved, so the cost of an upsert is the size of the batch. Readers take the
     newest version per key (:func:`read_latest`); :func:`compact` folds the folders from time to time.
     """
-    rows = first_per_key(df, ["table", key], F.col("created_at").desc_nulls_last())
+    rows = first_per_key(df, ["table", key], *_newest(df))
+    write_batch(rows, path, batch, "table")
+
+
+def write_batch(df: DataFrame, path: str, batch: int, *partition_by: str) -> None:
+    """The folder of a batch, replaced as a whole, whichever partitions an earlier attempt left in it."""
     (
-        rows.withColumn("batch", F.lit(batch)).write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic").partitionBy("batch", "table").parquet(path)
+        df.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy(*partition_by)
+        .parquet(f"{path}/batch={batch}")
     )
 
 

@@ -5,12 +5,11 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from listmill.operators.records import with_ingest_date
 from listmill.operators.routing import by_topic
-from listmill.sources.tables import append_versions
+from listmill.sources.tables import append_versions, write_batch
 
 
 def _trigger(writer, once: bool):
@@ -34,17 +33,13 @@ def publish_stream(
     """Lake and served tables from one reading of the source.
 
     Each micro-batch is read once, written raw, then cleaned and upserted into all tables in a single write. A repeated
-    batch overwrites its own folders, so a restart neither loses nor doubles rows.
+    batch replaces its own folders as a whole, also on another day, so a restart neither loses nor doubles rows.
     """
 
     def write(batch: DataFrame, number: int) -> None:
         batch.persist()
         try:
-            (
-                with_ingest_date(batch, moment).withColumn("batch", F.lit(number))
-                .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-                .partitionBy("batch", "topic", "year", "month", "day").parquet(lake)
-            )
+            write_batch(with_ingest_date(batch, moment), lake, number, "topic", "year", "month", "day")
             append_versions(by_topic(clean(batch)), served, "id", number)
         finally:
             batch.unpersist()

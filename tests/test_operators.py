@@ -211,8 +211,12 @@ def test_conversations(spark):
     turns = spark.createDataFrame([(1, t, "user" if t % 2 == 0 else None, f"m{t}") for t in range(12)], "c int, t long, role string, text string")
     got = conversations.context_window(turns, "c", "t", ["text"], size=3, block=5).orderBy("t").collect()
     assert [[x.text for x in r.context] for r in got] == [[f"m{j}" for j in range(max(0, i - 3), i)] for i in range(12)]
-    parts = conversations.transcript(turns, "c", "t", "role", "text", lines=10).orderBy("part").collect()
-    assert [p.part for p in parts] == [0, 1] and parts[0].transcript.startswith("user: m0\nunknown: m1\n")
+    parts = conversations.transcript(turns, "c", "t", "role", "text").collect()
+    assert len(parts) == 1 and parts[0].transcript == "".join(f"{'user' if t % 2 == 0 else 'unknown'}: m{t}\n" for t in range(12))
+    gaps = spark.createDataFrame([(1, t, f"m{t}") for t in (0, 100, 200, 300, 301, 302, 303, 304, 305, 900, 5000)], "c int, t long, text string")
+    texts = [r.text for r in gaps.orderBy("t").collect()]
+    got = conversations.context_window(gaps, "c", "t", ["text"], size=3, block=100).orderBy("t").collect()
+    assert [[x.text for x in r.context] for r in got] == [texts[max(0, i - 3) : i] for i in range(len(texts))]
     current = spark.createDataFrame([("a", "old"), ("b", "keep")], "chat_id string, title string")
     updates = spark.createDataFrame([("a", None), ("n", "new")], "chat_id string, title string")
     merged = {r.chat_id: (r.title, r.is_new) for r in conversations.upsert(current, updates, "chat_id").collect()}
