@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 from listmill.checks.registry import query
 from listmill.checks.views import documents, table
 from listmill.operators import lookback, search, similar
+from listmill.session import settle
 
 TOKENS_SQL = r"list_filter(regexp_split_to_array(lower({}), '[^\p{{L}}\p{{N}}]+'), lambda w: w <> '')"
 
@@ -63,6 +64,22 @@ def near_dup_lsh(spark, sf):
     return _decision(decided, "doc_id")
 
 
+@query("SELECT true AS partners_alike, true AS recall_ok")
+def near_dup_lsh_quality(spark, sf):
+    """Every dropped row is like the row it was dropped for, and 95 of 100 rows that the exact form drops are dropped."""
+    docs = documents(spark, sf)
+    found = settle(similar.near_duplicates_jaccard(docs, "doc_id", "text", 0.7, "minhash").select("doc_id", "kept_as"))
+    exact = similar.near_duplicates_jaccard(docs, "doc_id", "text", 0.7).where("kept_as <> doc_id").select("doc_id")
+    words = F.array_distinct(F.filter(F.split(F.lower("text"), r"[^\p{L}\p{N}]+"), lambda w: w != ""))
+    sets = docs.select("doc_id", words.alias("w"))
+    pairs = found.where("kept_as <> doc_id").join(sets, "doc_id").join(sets.withColumnsRenamed({"doc_id": "kept_as", "w": "k"}), "kept_as")
+    common = F.size(F.array_intersect("w", "k"))
+    alike = pairs.agg(F.coalesce(F.min(common >= 0.7 * (F.size("w") + F.size("k") - common)), F.lit(True)).alias("partners_alike"))
+    met = exact.join(found.select("doc_id", (F.col("kept_as") != F.col("doc_id")).alias("dropped")), "doc_id")
+    recall = met.agg(F.coalesce(F.count_if("dropped") >= 0.95 * F.count(F.lit(1)), F.lit(True)).alias("recall_ok"))
+    return alike.crossJoin(recall)  # one row each
+
+
 _COSINE_PAIRS = """SELECT later, earlier FROM (SELECT a.doc_id AS later, b.doc_id AS earlier, sum(a.w * b.w) AS c FROM wt a JOIN wt b
   ON a.token = b.token AND b.doc_id < a.doc_id GROUP BY 1, 2) JOIN documents x ON x.doc_id = later
   JOIN documents y ON y.doc_id = earlier WHERE c > 0.99 OR (c > 0.95 AND x.source = y.source)"""

@@ -47,6 +47,32 @@ def trimmed_by_global_bounds(spark, sf):
     return kept.groupBy("p_type").agg(F.count(F.lit(1)).alias("n"), F.round(F.max("v"), 4).alias("top"))
 
 
+def _within(df, group, bounds):
+    """Whether the approximate bounds lie within the rank error that their accuracy allows, per group."""
+    error = 1.0 / outliers.ACCURACY
+    keys = [group] if group else []
+    rows = df.where(F.col("v").isNotNull())
+    joined = rows.join(bounds, group) if group else rows.crossJoin(F.broadcast(bounds))  # one row of bounds
+    def ok(bound, p):
+        below, upto = (F.count_if(c) / F.count(F.lit(1)) for c in (F.col("v") < F.col(bound), F.col("v") <= F.col(bound)))
+        return (below - error <= p) & (upto + error >= p)
+    grouped = joined.groupBy(*keys)
+    return grouped.agg(ok("lower_bound", outliers.LOWER).alias("low_ok"), ok("upper_bound", outliers.UPPER).alias("high_ok"))
+
+
+@query("SELECT p_type, true AS low_ok, true AS high_ok FROM part JOIN lineitem ON l_partkey = p_partkey GROUP BY p_type")
+def approx_bounds_rank_error(spark, sf):
+    """The quantiles themselves (spreads of 0) against the counted ranks of each group."""
+    prices = _unit_prices(spark, sf)
+    return _within(prices, "p_type", outliers.approx_bounds(prices, "p_type", "v", spreads=0.0))
+
+
+@query("SELECT true AS low_ok, true AS high_ok")
+def global_bounds_rank_error(spark, sf):
+    prices = _unit_prices(spark, sf)
+    return _within(prices, None, outliers.approx_bounds(prices, None, "v", spreads=0.0))
+
+
 @query(f"WITH {LISTINGS_SQL} SELECT * REPLACE (round(price_per_m2, 6) AS price_per_m2) FROM listings")
 def listing_view(spark, sf):
     return _rounded(listings(spark, sf), "price_per_m2", digits=6)
