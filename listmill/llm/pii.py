@@ -7,8 +7,7 @@ plus sign, a card number in dotted groups, an address in brackets). The tagger t
 Texts are cut into windows that overlap by half. Each window is decoded by itself (Viterbi); a character takes its tag from
 the window in which it stands farthest from the edges, and spans are read from the tags of the whole text. A span must pass the
 exact check of its kind, stand free of letters and digits, and touch no span found before. Every kind needs a digit or an
-at sign, and one at least every REACH characters where two windows meet, so windows without such a character are all
-outside and are not computed.
+at sign, so a span wholly inside windows without one would fail its check: such windows count as outside and are not computed.
 
 Defined results: a null text counts as empty and has no spans; without any labelled span there is no tagger and the rules
 alone decide; repeated rows are scanned as often as they occur; columns beside key and text are not looked at.
