@@ -146,6 +146,19 @@ def typed_load(spark, sf):
     return spark.read.parquet(path).select("id", "category", "price", "square", "no_floors", "district")
 
 
+@query(f"""WITH {LISTINGS_SQL} SELECT CASE WHEN id % 10 <> 0 THEN 'p' || id END AS post_id, category, price FROM listings""")
+def typed_load_keyed(spark, sf):
+    """Documents by post_id: of three versions the last is loaded, documents without an id all stay."""
+    rows = listings(spark, sf).select(
+        F.when(F.col("id") % 10 != 0, F.concat(F.lit("p"), "id")).alias("post_id"), "category", "price"
+    ).withColumn("created_at", F.lit("2024/01/03 00:00:00"))
+    older = rows.where("post_id IS NOT NULL").withColumn("n", F.explode(F.array(F.lit(1), F.lit(2))))
+    older = older.withColumn("created_at", F.concat(F.lit("2024/01/0"), "n", F.lit(" 00:00:00"))).withColumn("price", F.lit(-1.0)).drop("n")
+    path = fresh_dir(spark, "typed")
+    tables.write_typed(rows.unionByName(older), path, key="post_id")
+    return spark.read.parquet(path).select("post_id", "category", "price")
+
+
 # Both layers write: all listings as a batch, then the priority ones again, later and re-priced.
 @query(f"""WITH {LISTINGS_SQL} SELECT id, category AS "table", CASE WHEN ward = '1-URGENT' THEN price * 2 ELSE price END AS price FROM listings""")
 def keyed_upsert(spark, sf):

@@ -26,8 +26,14 @@ def write_by_category(df: DataFrame, path: str, key: str = "id", table: str = "t
     )
 
 
-def write_typed(df: DataFrame, path: str, partition_by: list[str] | None = None) -> None:
-    """Typed document load: columns cast to the served types."""
+def write_typed(df: DataFrame, path: str, partition_by: list[str] | None = None, key: str | None = None) -> None:
+    """Typed document load: columns cast to the served types.
+
+    With ``key`` the last version of each key is the document; rows without a key are documents of their own.
+    """
+    if key:
+        last = first_per_key(df.where(F.col(key).isNotNull()), [key], *_newest(df))
+        df = last.unionByName(df.where(F.col(key).isNull()))
     writer = typed(df).write.mode("overwrite")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
