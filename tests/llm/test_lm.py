@@ -137,3 +137,38 @@ def test_the_model_beats_single_ids_on_held_out_texts(model):
     ids, counts = own.encode(np.frombuffer(b"".join(raw), np.uint8), offsets)
     alone = np.bincount(ids, minlength=len(own.tokens)) + 1.0
     assert model.score(ids, counts).sum() > np.log10(alone / alone.sum())[ids].sum()
+
+
+def test_the_model_is_trained_on_every_id_of_every_training_row(documents):
+    own = bpe.codec(bpe.read_file(RANKS))
+    # a long text, whose rare word stands where no fixed number of windows reaches
+    table = [*enumerate(corpus(40, 5)), (100, "anon there " * 2_000 + "zebra " + "anon there " * 3_000), (101, None), (102, "")]
+    train = [(t or "").lower().encode() for k, t in table if not held(k)]
+    assert not held(100)
+    ids, counts = own.encode(np.frombuffer(b"".join(train), np.uint8), np.cumsum([0, *map(len, train)]))
+    expected = np.bincount(ids, minlength=len(own.tokens))
+    found = lm.learn(documents([row for row in table if not held(row[0])]), RANKS, "doc_id", "text")
+    assert found.trained == len(ids) + len(train)
+    rest = found.kind == 1
+    assert found.inside[rest] == pytest.approx(np.log((expected + 1.0) / (expected[rest] + 1.0).sum())[rest])
+    assert expected[found.kind > 1].min() >= expected[rest].max()
+    assert found.losses[-1] < found.losses[0]
+
+
+def test_segments_give_the_blocks_and_the_gradient_of_whole_texts():
+    r = np.random.default_rng(5)
+    m = lm.Model([], 50_256, counts=r.integers(0, 9, 50_256))
+    ids, counts = r.integers(0, 50_256, 5_000), np.array([3_000, 0, 15, 16, 17, lm.SEGMENT - 1, 5_000 - 3_048 - lm.SEGMENT + 1])
+    rows, first, target, _ = m.blocks(ids, counts)
+    values, sizes, _, number = lm.segments(ids, counts)
+    cut = lm.segment_blocks(m, values, sizes, number > 0)
+    assert len(number) > len(counts)
+    assert (cut[0] == rows)[~first].all() and (cut[0] == rows)[:, lm.STRIDE :].all() and (cut[1] == first).all()
+    assert (cut[2] == np.where(target == -1, -1, m.classes(target))).all()
+    m.w = {k: v.astype(np.float64) for k, v in m.w.items()}
+    loss, grad = m.gradient(*cut)
+    mean, expected = m._step(rows, first, m.classes(target), target != -1)
+    n = len(ids) + len(counts)
+    assert loss / n == pytest.approx(mean)
+    for name in m.w:
+        assert grad[name] / n == pytest.approx(expected[name], abs=1e-12), name
