@@ -6,7 +6,10 @@ ordered template (prefix filter), must have enough distinct words (length filter
 side may have too few words left in the order to reach the number needed (positional filter). What passes is counted.
 
 Blocks of a template are windows of twice its words, each starting half a window after the last, so any passage as long
-as the template lies whole in one. Templates are a stated set of bounded size and are sent to every worker.
+as the template lies whole in one. A longer passage, with words put in, may lie across two of them. So the same window is also
+slid word by word around the words of the prefix: passages are all its runs of places, with the best containment of each, and
+no passage of up to twice the template's words is lost by where it starts. Templates are a stated set of bounded size and are
+sent to every worker.
 
 Beside this the scan reports base places: where a phrase's words stand one after the other.
 
@@ -123,6 +126,48 @@ class Index:
                 out.append((label, start, min(start + 2 * size, len(words)), common / len(template)))
         return out
 
+    def passages(self, words: list[bytes]) -> list[tuple[str, int, int, float]]:
+        """Label, first word, end and containment of the best window in every run of windows that hold a template."""
+        if self.rare.isdisjoint(words):
+            return []
+        hits: dict[int, list[int]] = defaultdict(list)
+        for at, word in enumerate(words):
+            for number, _ in self.prefix.get(word, ()):
+                hits[number].append(at)
+        out = []
+        for number, places in sorted(hits.items()):
+            label, template, size, needed = self.templates[number]
+            width, k = 2 * size, 0
+            while k < len(places):
+                # hits whose windows meet are looked at together, from the first window that has one to the last
+                low, last = max(0, places[k] - width + 1), places[k]
+                while k < len(places) and places[k] - last < width:
+                    last, k = places[k], k + 1
+                high = min(len(words), last + width)
+                # the places of the template's words; a window that is best begins at one of them
+                found = [at for at in range(low, high) if words[at] in template]
+                if len(found) < needed:
+                    continue
+                held: Counter = Counter()
+                end, best, until = 0, None, -1
+                for at in found:
+                    while end < len(found) and found[end] < at + width:
+                        held[words[found[end]]] += 1
+                        end += 1
+                    if len(held) >= needed:
+                        if best is not None and at >= until:
+                            out.append(best)
+                            best = None
+                        if best is None or len(held) / len(template) > best[3]:
+                            best = (label, at, min(at + width, len(words)), len(held) / len(template))
+                        until = at + width
+                    held[words[at]] -= 1
+                    if not held[words[at]]:
+                        del held[words[at]]
+                if best is not None:
+                    out.append(best)
+        return out
+
 
 def word_frequencies(df: DataFrame, text: str, wanted: set[bytes]) -> dict[bytes, int]:
     """How often each of the wanted words occurs in all texts."""
@@ -150,6 +195,7 @@ _SCHEMA = [
         T.StructField("end", T.LongType()), T.StructField("containment", T.DoubleType()),
     ]))),
 ]
+_SCHEMA.append(T.StructField("passages", _SCHEMA[-1].dataType))
 _PLACES = pa.list_(pa.struct([("label", pa.string()), ("word", pa.int64())]))
 _BLOCKS = pa.list_(pa.struct([("label", pa.string()), ("first", pa.int64()), ("end", pa.int64()), ("containment", pa.float64())]))
 
@@ -158,7 +204,7 @@ def scan(
     df: DataFrame, key: str = "doc_id", text: str = "text", templates: list[tuple[str, str]] = TEMPLATES,
     phrases: dict[str, str] = PHRASES, threshold: float = THRESHOLD,
 ) -> DataFrame:
-    """key, n_words, base places (label, first word) and blocks (label, first word, end, containment) of every row."""
+    """key, n_words, base places (label, first word), blocks and passages (label, first word, end, containment) of every row."""
     wanted = {w for _, t in templates for w in words_of(t)}
     index = Index(templates, word_frequencies(df, text, wanted), threshold, phrases)
     sent = df.sparkSession.sparkContext.broadcast(index)
@@ -168,14 +214,17 @@ def scan(
     def task(batches):
         own = sent.value
         for batch in batches:
-            counts, places, blocks = [], [], []
+            counts, places, blocks, passages = [], [], [], []
             for value in batch.column("text"):
                 folded = (value.as_py() or "").encode().translate(_FOLD)
                 words = folded.split()
                 counts.append(len(words))
                 places.append([{"label": a, "word": b} for a, b in own.base(folded, words)])
                 blocks.append([dict(zip(("label", "first", "end", "containment"), b, strict=True)) for b in own.blocks(words)])
-            arrays = [batch.column("key"), pa.array(counts, pa.int64()), pa.array(places, _PLACES), pa.array(blocks, _BLOCKS)]
+                passages.append([dict(zip(("label", "first", "end", "containment"), b, strict=True)) for b in own.passages(words)])
+            arrays = [
+                batch.column("key"), pa.array(counts, pa.int64()), pa.array(places, _PLACES), pa.array(blocks, _BLOCKS), pa.array(passages, _BLOCKS)
+            ]
             yield pa.RecordBatch.from_arrays(arrays, names=schema.names)
 
     return narrow.mapInArrow(task, schema).withColumnRenamed("key", key)
@@ -184,7 +233,8 @@ def scan(
 def report(docs: DataFrame) -> DataFrame:
     """doc_id with the number of words, base places, their labels, all labels and the best containment."""
     joined = lambda names: F.array_join(F.array_sort(F.array_distinct(names)), ",")
-    base, method = F.col("places.label"), F.col("blocks.label")
+    # the best window is at least as good as the best block
+    base, method = F.col("places.label"), F.col("passages.label")
     return scan(docs).select(
         "doc_id",
         "n_words",
@@ -193,5 +243,5 @@ def report(docs: DataFrame) -> DataFrame:
         F.array_max("places.word").alias("last_word"),
         joined(base).alias("base_labels"),
         joined(F.concat(base, method)).alias("labels"),
-        F.when(F.size("places") > 0, 1.0).otherwise(F.coalesce(F.array_max("blocks.containment"), F.lit(0.0))).alias("score"),
+        F.when(F.size("places") > 0, 1.0).otherwise(F.coalesce(F.array_max("passages.containment"), F.lit(0.0))).alias("score"),
     )

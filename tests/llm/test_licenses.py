@@ -85,3 +85,27 @@ def test_report(documents, rows):
         (5, 12, 1, 7, 7, "gpl", "gpl", 1.0),
     ]
     assert licenses.report(documents([])).count() == 0
+
+
+def test_a_notice_with_words_put_in_is_found_wherever_it_starts(documents, rows):
+    notice = "Licensed under the following terms that is to say Apache License Version 2.0"
+    table = [(k, " ".join(["qux"] * k) + f" {notice} and more") for k in range(40)]
+    found = rows(licenses.report(documents(table)), "doc_id", "labels", "score")
+    assert found == [(k, "apache", 1.0) for k in range(40)]
+
+
+def test_passages_are_those_of_every_window():
+    index = licenses.Index(licenses.TEMPLATES, {}, 0.7, licenses.PHRASES)
+    for text in texts():
+        w = words(text)[:3_000]
+        best = {}
+        for number, (label, template) in enumerate(licenses.TEMPLATES):
+            names, width = set(words(template)), 2 * len(words(template))
+            share = max((len(names & set(w[at : at + width])) / len(names) for at in range(max(1, len(w)))), default=0)
+            if share * len(names) >= math.ceil(0.7 * len(names) - 1e-9) - 1e-6:
+                best[label] = max(best.get(label, 0), share)
+        found = {}
+        for label, first, end, share in index.passages([x.encode() for x in w]):
+            assert 0 <= first < end <= len(w)
+            found[label] = max(found.get(label, 0), share)
+        assert found == best, text
