@@ -37,11 +37,22 @@ def transcript_lines(df: DataFrame, key: str, position: str, role: str, text: st
     return df.select(key, position, line.alias("line"))
 
 
-def transcript(df: DataFrame, key: str, position: str, role: str, text: str) -> DataFrame:
-    """One text per conversation, ``(key, transcript)``: its lines in order, however many there are."""
+def transcript_blocks(df: DataFrame, key: str, position: str, role: str, text: str, block: int = 256) -> DataFrame:
+    """``(key, _block, _text)``: the lines of each block of positions in order, as one text."""
     line = F.struct(F.col(position).alias("p"), "line")
-    grouped = transcript_lines(df, key, position, role, text).groupBy(key).agg(F.array_sort(F.collect_list(line)).alias("l"))
-    return grouped.select(key, F.array_join(F.col("l.line"), "").alias("transcript"))
+    lines = transcript_lines(df, key, position, role, text).withColumn("_block", F.floor(F.col(position) / block))
+    grouped = lines.groupBy(key, "_block").agg(F.array_sort(F.collect_list(line)).alias("l"))
+    return grouped.select(key, "_block", F.array_join(F.col("l.line"), "").alias("_text"))
+
+
+def transcript(df: DataFrame, key: str, position: str, role: str, text: str) -> DataFrame:
+    """One text per conversation, ``(key, transcript)``: its lines in order, however many there are.
+
+    Lines are joined by block of positions first, so a long conversation is spread over tasks, and only its blocks meet in one.
+    """
+    blocks = transcript_blocks(df, key, position, role, text)
+    grouped = blocks.groupBy(key).agg(F.array_sort(F.collect_list(F.struct("_block", "_text"))).alias("l"))
+    return grouped.select(key, F.array_join(F.col("l._text"), "").alias("transcript"))
 
 
 def upsert(current: DataFrame, updates: DataFrame, key: str) -> DataFrame:

@@ -302,3 +302,12 @@ def test_clean_requests_accepts_single_values(spark):
     )
     r = search.clean_requests(df).first()
     assert (r.estate_type, r.district, r.no_bedrooms, r.no_bathrooms, r.price) == (["đất"], ["A"], 2, None, 5.0)
+
+
+def test_a_long_transcript_is_joined_by_blocks(spark):
+    turns = spark.range(1000).selectExpr("1 c", "999 - id t", "'user' role", "concat('m', 999 - id) text")
+    turns = turns.union(spark.createDataFrame([(2, None, "bot", "x"), (2, 300, None, None), (2, 5, "bot", "y")], "c int, t long, role string, text string"))
+    blocks = conversations.transcript_blocks(turns, "c", "t", "role", "text").collect()
+    assert max(r._text.count("\n") for r in blocks) <= 256 and len(blocks) == 4 + 3
+    found = {r.c: r.transcript for r in conversations.transcript(turns, "c", "t", "role", "text").collect()}
+    assert found == {1: "".join(f"user: m{t}\n" for t in range(1000)), 2: "bot: x\nbot: y\nunknown: \n"}
