@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from listmill.llm import bpe, counts, decontaminate, embeddings, langid, licenses, lm, ngram_join, pii, sharding
+from listmill.llm import bpe, counts, decontaminate, embeddings, langid, licenses, lm, mixing, ngram_join, pii, sharding
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -76,3 +76,11 @@ ORACLES["op9_benchmark_decontamination"] = decontaminate.SQL
 @query
 def op10_token_counts(spark, sf):
     return counts.token_counts(table(spark, sf, "documents"), VOCABULARY, limit=1024)
+
+
+@query
+def op11_curriculum_mix(spark, sf):
+    return mixing.report(table(spark, sf, "documents"))
+
+
+ORACLES["op11_curriculum_mix"] = mixing.SQL
