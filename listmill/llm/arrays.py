@@ -14,9 +14,6 @@ PIECE_BYTES = 1 << 20
 # Rows in an Arrow batch; texts of a megabyte each still fit a worker then.
 BATCH_ROWS = 512
 
-_ODD = np.uint64(0x9E3779B97F4A7C15)
-_INVERSE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
-
 
 def small_batches(df: DataFrame) -> DataFrame:
     """Bound the rows that an Arrow batch holds, for the jobs of this session."""
@@ -58,30 +55,62 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-_BYTE = mix(np.arange(1, 257, dtype=np.uint64) * _ODD)
-_powers = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
+# Two polynomials over bytes modulo a Mersenne prime, at random points: texts that collide by construction modulo a power of two
+# do not here, and two slices of ``n`` bytes share both values with a probability of about (n / 2**31) ** 2.
+_PRIME = (1 << 31) - 1
+_POINTS = (1_308_294_071, 870_436_919)
+_powers: list[list[np.ndarray]] = [[], []]
+# Below this many bytes the products of a byte and a power can be summed before they are reduced.
+_UNREDUCED = 1 << 24
+
+
+def _fold(x: np.ndarray) -> np.ndarray:
+    """A number congruent to ``x``: below 2**31 + 2 after two folds of a number below 2**63."""
+    return (x & np.uint64(_PRIME)) + (x >> np.uint64(31))
+
+
+def _reduced(x: np.ndarray) -> np.ndarray:
+    x = _fold(_fold(x))
+    return np.where(x >= _PRIME, x - np.uint64(_PRIME), x)
 
 
-def _power(n: int) -> tuple[np.ndarray, np.ndarray]:
-    """The first ``n`` powers of an odd number modulo 2**64, and of its inverse."""
-    if len(_powers[0]) < n:
-        size = 1 << (n - 1).bit_length()
-        for k, base in enumerate((_ODD, _INVERSE)):
-            steps = np.full(size, base, np.uint64)
-            steps[0] = 1
-            _powers[k] = np.cumprod(steps)
-    return _powers[0], _powers[1]
+def _power(n: int) -> list[list[np.ndarray]]:
+    """The first ``n`` powers of each point and of its inverse, by doubling."""
+    if not _powers[0] or len(_powers[0][0]) < n:
+        for k, point in enumerate(_POINTS):
+            _powers[k] = []
+            for base in (point, pow(point, -1, _PRIME)):
+                found, step = np.ones(1, np.uint64), base
+                while len(found) < n:
+                    found = np.concatenate([found, _reduced(found * np.uint64(step))])
+                    step = step * step % _PRIME
+                _powers[k].append(found)
+    return _powers
 
 
 def slice_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """A 64-bit hash of every slice ``data[start:end]``: a polynomial over hashed bytes, mixed with the length."""
+    """A 64-bit hash of every slice ``data[start:end]``: two polynomials and the length, mixed."""
     if not len(starts):
         return np.zeros(0, np.uint64)
-    power, inverse = _power(len(data) + 1)
-    total = np.zeros(len(data) + 1, np.uint64)
-    np.cumsum(_BYTE[data] * power[: len(data)], out=total[1:])
-    hashed = (total[ends] - total[starts]) * inverse[starts]
-    return mix(hashed + (ends - starts).astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93))
+    letters = data.astype(np.uint64) + np.uint64(1)
+    out = (ends - starts).astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93)
+    for k, (power, inverse) in enumerate(_power(len(data) + 1)):
+        total = np.zeros(len(data) + 1, np.uint64)
+        terms = letters * power[: len(data)]
+        np.cumsum(terms if len(data) < _UNREDUCED else _fold(terms), out=total[1:])
+        value = _reduced((total[ends] - total[starts]))
+        out += _reduced(value * inverse[starts]) << np.uint64(31 * k)
+    return mix(out)
+
+
+def differing(data: np.ndarray, starts: np.ndarray, sizes: np.ndarray, other: np.ndarray, others: np.ndarray) -> np.ndarray:
+    """Places of the slices of ``data`` that differ from the equally long slices of ``other`` that start at ``others``."""
+    some = np.flatnonzero(sizes)
+    same = data[expand(starts[some], sizes[some])] == other[expand(others[some], sizes[some])]
+    if same.all():
+        return np.zeros(0, np.int64)
+    begin = np.cumsum(sizes[some]) - sizes[some]
+    return some[~np.logical_and.reduceat(same, begin)]
 
 
 def expand(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
