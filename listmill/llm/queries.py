@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from listmill.llm import bpe, counts, decontaminate, embeddings, langid, licenses, lm, mixing, ngram_join, pii, sharding
+from listmill.llm import bpe, counts, decontaminate, embeddings, langid, lexical, licenses, lm, mixing, ngram_join, pii, sharding, variants
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -84,3 +84,16 @@ def op11_curriculum_mix(spark, sf):
 
 
 ORACLES["op11_curriculum_mix"] = mixing.SQL
+
+
+@query
+def op12_spelling_variants(spark, sf):
+    return variants.groups(table(spark, sf, "documents"))
+
+
+@query
+def op13_ranked_search(spark, sf):
+    return lexical.search(table(spark, sf, "documents"), table(spark, sf, "benchmark"), k=50)
+
+
+ORACLES["op13_ranked_search"] = lexical.SQL
