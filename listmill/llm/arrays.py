@@ -103,14 +103,42 @@ def slice_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.n
     return mix(out)
 
 
+def _eights(data: np.ndarray) -> np.ndarray:
+    """The eight bytes from each place on as one number, zeros behind the end."""
+    padded = np.concatenate([data, np.zeros(8, np.uint8)])
+    return np.ndarray(len(data) + 1, np.uint64, padded, strides=(1,))
+
+
+_MASKS = np.array([(1 << (8 * n)) - 1 for n in range(9)], np.uint64)
+
+
 def differing(data: np.ndarray, starts: np.ndarray, sizes: np.ndarray, other: np.ndarray, others: np.ndarray) -> np.ndarray:
     """Places of the slices of ``data`` that differ from the equally long slices of ``other`` that start at ``others``."""
-    some = np.flatnonzero(sizes)
-    same = data[expand(starts[some], sizes[some])] == other[expand(others[some], sizes[some])]
-    if same.all():
-        return np.zeros(0, np.int64)
-    begin = np.cumsum(sizes[some]) - sizes[some]
-    return some[~np.logical_and.reduceat(same, begin)]
+    mine = _eights(data)
+    theirs = mine if other is data else _eights(other)
+    wrong = ((mine[starts] ^ theirs[others]) & _MASKS[np.minimum(sizes, 8)]) != 0
+    long = np.flatnonzero((sizes > 8) & ~wrong)
+    if len(long):
+        same = data[expand(starts[long], sizes[long])] == other[expand(others[long], sizes[long])]
+        wrong[long] = ~np.logical_and.reduceat(same, np.cumsum(sizes[long]) - sizes[long])
+    return np.flatnonzero(wrong)
+
+
+def distinct_slices(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Hashes of the distinct slices, the first place of each, and which of them each slice is.
+
+    Slices are compared byte by byte with the one they share a hash with; one that differs is an entry of its own, under the
+    same hash, behind the others.
+    """
+    hashes, first, back = np.unique(slice_hashes(data, starts, ends), return_index=True, return_inverse=True)
+    sizes, like = ends - starts, first[back]
+    odd = np.flatnonzero(sizes != sizes[like])
+    even = np.flatnonzero(sizes == sizes[like])
+    odd = np.concatenate([odd, even[differing(data, starts[even], sizes[even], data, starts[like[even]])]])
+    if len(odd):
+        hashes, first = np.concatenate([hashes, hashes[back[odd]]]), np.concatenate([first, odd])
+        back[odd] = len(hashes) - len(odd) + np.arange(len(odd))
+    return hashes, first, back
 
 
 def expand(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:

@@ -19,11 +19,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from listmill.llm.arrays import bytes_of, expand, pieces, slice_hashes, small_batches
+from listmill.llm.arrays import bytes_of, differing, distinct_slices, expand, pieces, slice_hashes, small_batches
 from listmill.llm.pretokens import Merges, merge, split
 
-# Distinct pre-tokens a worker remembers; beyond that it starts afresh. Only speed depends on it.
-CACHE_ENTRIES = 400_000
+# Distinct pre-tokens a worker remembers, and their bytes; beyond that it starts afresh. Only speed depends on it.
+CACHE_ENTRIES, CACHE_BYTES = 400_000, 32 << 20
 # A vocabulary is sent to every worker; a larger file than this is refused.
 VOCABULARY_BYTES = 64 << 20
 
@@ -42,37 +42,65 @@ def ranks_of(data: bytes) -> dict[bytes, int]:
     return {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, data.splitlines()) if token}
 
 
+class Growing:
+    """An array that is appended to."""
+
+    def __init__(self, kind):
+        self.data, self.size = np.zeros(1 << 12, kind), 0
+
+    def add(self, values: np.ndarray) -> None:
+        if self.size + len(values) > len(self.data):
+            self.data = np.concatenate([self.data[: self.size], np.zeros(self.size + 2 * len(values), self.data.dtype)])
+        self.data[self.size : self.size + len(values)] = values
+        self.size += len(values)
+
+
 class Remembered:
-    """Values by 64-bit key: a large sorted part and a small recent one, emptied when full."""
+    """Numbers of slices seen before, by hash and then by their bytes; to be emptied when full."""
 
-    def __init__(self, most: int = CACHE_ENTRIES):
-        self.most = most
+    def __init__(self, most: int = CACHE_ENTRIES, bytes_held: int = CACHE_BYTES):
+        self.most, self.bytes_held = most, bytes_held
+        # a large sorted part and a small recent one, each of hashes and numbers
         self.parts = [(np.zeros(0, np.uint64), np.zeros(0, np.int64)) for _ in range(2)]
+        self.raw, self.begin, self.length = Growing(np.uint8), Growing(np.int64), Growing(np.int64)
 
-    def __len__(self):
-        return sum(len(k) for k, _ in self.parts)
-
-    def look(self, keys: np.ndarray) -> np.ndarray:
-        """The value of each key, -1 where there is none."""
-        out = np.full(len(keys), -1, np.int64)
-        for known, values in self.parts:
+    def look(self, hashes: np.ndarray, data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        """The number of each slice, -1 where it is not there."""
+        out = np.full(len(hashes), -1, np.int64)
+        for known, numbers in self.parts:
             if len(known):
-                at = np.minimum(np.searchsorted(known, keys), len(known) - 1)
-                out = np.where(known[at] == keys, values[at], out)
+                at = np.minimum(np.searchsorted(known, hashes), len(known) - 1)
+                out = np.where(known[at] == hashes, numbers[at], out)
+        hit = np.flatnonzero(out >= 0)
+        if len(hit):
+            sizes = ends[hit] - starts[hit]
+            same = self.length.data[out[hit]] == sizes
+            out[hit[~same]] = -1
+            hit, sizes = hit[same], sizes[same]
+            wrong = differing(data, starts[hit], sizes, self.raw.data[: self.raw.size], self.begin.data[out[hit]])
+            out[hit[wrong]] = -1
         return out
 
-    def add(self, keys: np.ndarray, values: np.ndarray) -> None:
+    def add(self, hashes: np.ndarray, data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        """Remember the slices and return their numbers, which follow those before."""
+        numbers = self.begin.size + np.arange(len(hashes))
+        sizes = ends - starts
+        self.begin.add(self.raw.size + np.cumsum(sizes) - sizes)
+        self.length.add(sizes)
+        self.raw.add(data[expand(starts, sizes)])
+
         def join(a, b):
             k, v = np.concatenate([a[0], b[0]]), np.concatenate([a[1], b[1]])
             order = np.argsort(k, kind="stable")
             return k[order], v[order]
 
-        self.parts[1] = join(self.parts[1], (keys, values))
+        self.parts[1] = join(self.parts[1], (hashes, numbers))
         if len(self.parts[1][0]) > 20_000 + len(self.parts[0][0]) // 4:
             self.parts = [join(*self.parts), (np.zeros(0, np.uint64), np.zeros(0, np.int64))]
+        return numbers
 
     def full(self, more: int) -> bool:
-        return len(self) + more > self.most
+        return self.begin.size + more > self.most or self.raw.size > self.bytes_held
 
 
 class Codec:
@@ -92,19 +120,22 @@ class Codec:
         self.merges = Merges(left, right, rank, rank)
         self.byte = np.array([ranks[bytes([b])] for b in range(256)], np.int32)
         ends = np.cumsum(self.lengths)
-        hashes = slice_hashes(np.frombuffer(b"".join(self.tokens), np.uint8), ends - self.lengths, ends)
+        self.letters, self.begins = np.frombuffer(b"".join(self.tokens), np.uint8), ends - self.lengths
+        hashes = slice_hashes(self.letters, self.begins, ends)
         order = np.argsort(hashes)
         self.whole = hashes[order], order.astype(np.int32)
         self.forget()
 
     def forget(self):
-        self.cache, self.flat, self.filled = Remembered(), np.zeros(1 << 16, np.int32), 0
+        self.cache, self.ids, self.begin, self.size = Remembered(), Growing(np.int32), Growing(np.int64), Growing(np.int64)
 
     def _fresh(self, data, starts, ends, hashes) -> tuple[np.ndarray, np.ndarray]:
         """Ids of distinct pre-tokens: the token itself where the whole is one, else by merging its bytes."""
         known, ids = self.whole
         at = np.minimum(np.searchsorted(known, hashes), len(known) - 1)
-        whole = known[at] == hashes
+        whole = (known[at] == hashes) & (self.lengths[ids[at]] == ends - starts)
+        some = np.flatnonzero(whole)
+        whole[some[differing(data, starts[some], (ends - starts)[some], self.letters, self.begins[ids[at[some]]])]] = False
         lengths = np.ones(len(starts), np.int64)
         rest = np.flatnonzero(~whole)
         sizes = ends[rest] - starts[rest]
@@ -121,27 +152,22 @@ class Codec:
         if not len(data):
             return np.zeros(0, np.int32), np.zeros(len(offsets) - 1, np.int64)
         starts, ends = split(data, offsets)
-        hashes, first, back = np.unique(slice_hashes(data, starts, ends), return_index=True, return_inverse=True)
-        place = self.cache.look(hashes)
-        missing = np.flatnonzero(place < 0)
+        hashes, first, back = distinct_slices(data, starts, ends)
+        number = self.cache.look(hashes, data, starts[first], ends[first])
+        missing = np.flatnonzero(number < 0)
         if len(missing):
             if self.cache.full(len(missing)):
                 self.forget()
                 missing = np.arange(len(hashes))
             rows = first[missing]
             ids, lengths = self._fresh(data, starts[rows], ends[rows], hashes[missing])
-            if self.filled + len(ids) > len(self.flat):
-                self.flat = np.concatenate([self.flat[: self.filled], ids, np.zeros(self.filled + len(ids), np.int32)])
-            else:
-                self.flat[self.filled : self.filled + len(ids)] = ids
-            begin = self.filled + np.cumsum(lengths) - lengths
-            self.filled += len(ids)
-            # start and length in one value
-            place[missing] = (begin << 24) | lengths
-            self.cache.add(hashes[missing], place[missing])
-        place = place[back]
-        lengths = place & 0xFFFFFF
-        ids = self.flat[expand(place >> 24, lengths)]
+            self.begin.add(self.ids.size + np.cumsum(lengths) - lengths)
+            self.size.add(lengths)
+            self.ids.add(ids)
+            number[missing] = self.cache.add(hashes[missing], data, starts[rows], ends[rows])
+        number = number[back]
+        lengths = self.size.data[number]
+        ids = self.ids.data[expand(self.begin.data[number], lengths)]
         total = np.concatenate(([0], np.cumsum(lengths)))
         bounds = total[np.searchsorted(starts, offsets)]
         return ids, np.diff(bounds)

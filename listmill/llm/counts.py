@@ -19,8 +19,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from listmill.llm.arrays import bytes_of, expand, pieces, slice_hashes, small_batches
-from listmill.llm.bpe import Remembered, read_file
+from listmill.llm.arrays import bytes_of, distinct_slices, expand, pieces, small_batches
+from listmill.llm.bpe import Growing, Remembered, read_file
 from listmill.llm.pretokens import Merges, merge, split
 
 
@@ -50,24 +50,28 @@ class Counter:
             range(len(pairs)), [vocabulary[a + b] for a, b in pairs],
         )
         self.byte = np.array([vocabulary[c] for c in byte_letters()], np.int32)
+        if any(t.get(f) for t in tokenizer["added_tokens"] for f in ("lstrip", "rstrip", "single_word", "normalized")):
+            raise ValueError("added tokens that take blanks, stand alone or are normalised are not handled")
         self.added = sorted((t["content"].encode() for t in tokenizer["added_tokens"]), key=len, reverse=True)
-        self.cache = Remembered()
+        self.cache, self.size = Remembered(), Growing(np.int64)
 
     def _count(self, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
         """Tokens of each text, none of which holds an added token."""
         if not len(data):
             return np.zeros(len(offsets) - 1, np.int64)
         starts, ends = split(data, offsets)
-        hashes, first, back = np.unique(slice_hashes(data, starts, ends), return_index=True, return_inverse=True)
-        found = self.cache.look(hashes)
-        missing = np.flatnonzero(found < 0)
+        hashes, first, back = distinct_slices(data, starts, ends)
+        number = self.cache.look(hashes, data, starts[first], ends[first])
+        missing = np.flatnonzero(number < 0)
         if len(missing):
             if self.cache.full(len(missing)):
-                self.cache = Remembered()
+                self.cache, self.size = Remembered(), Growing(np.int64)
+                missing = np.arange(len(hashes))
             rows = first[missing]
             sizes = ends[rows] - starts[rows]
-            found[missing] = merge(self.byte[data[expand(starts[rows], sizes)]], sizes, self.merges)[1]
-            self.cache.add(hashes[missing], found[missing])
+            self.size.add(merge(self.byte[data[expand(starts[rows], sizes)]], sizes, self.merges)[1])
+            number[missing] = self.cache.add(hashes[missing], data, starts[rows], ends[rows])
+        found = self.size.data[number]
         total = np.concatenate(([0], np.cumsum(found[back])))
         return np.diff(total[np.searchsorted(starts, offsets)])
 

@@ -10,7 +10,8 @@ are composed within rows of 64 characters, all rows at once, and then across row
 from __future__ import annotations
 
 import unicodedata
-from functools import cache
+from functools import cache, cached_property
+from heapq import heapify, heappop, heappush
 
 import numpy as np
 
@@ -21,6 +22,8 @@ LETTER, DIGIT, SIGN, BLANK, SPACE, SHORT, LONG = range(7)
 # ONE, TWO: inside a contraction, of which so many letters are to come.
 JOINED, FREE, ONE, TWO = range(4)
 WIDTH = 64
+# Symbols from which on a sequence is merged by itself.
+BY_ITSELF = 512
 
 # Code points of white space, first and last of each range.
 WHITE = ((0x9, 0xD), (0x20, 0x20), (0x85, 0x85), (0xA0, 0xA0), (0x1680, 0x1680), (0x2000, 0x200A), (0x2028, 0x2029),
@@ -175,6 +178,7 @@ class Merges:
 
     def __init__(self, left, right, rank, into):
         keys = (np.asarray(left, np.uint64) << np.uint64(20)) | np.asarray(right, np.uint64)
+        self.listed = keys, np.asarray(rank, np.int64), np.asarray(into, np.int64)
         self.bits = max(12, int(len(keys) * 4 - 1).bit_length())
         size = 1 << self.bits
         self.keys = np.full(size, np.uint64(0xFFFFFFFFFFFFFFFF))
@@ -196,6 +200,11 @@ class Merges:
 
     NONE = np.int32(2**31 - 1)
 
+    @cached_property
+    def by_pair(self) -> dict[int, tuple[int, int]]:
+        """Rank and symbol by ``left << 20 | right``, to be looked up one at a time."""
+        return dict(zip(self.listed[0].tolist(), zip(self.listed[1].tolist(), self.listed[2].tolist(), strict=True), strict=True))
+
     def look(self, left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The rank of each pair, NONE where there is none, and its slot."""
         keys = (left.astype(np.uint64) << np.uint64(20)) | right.astype(np.uint64)
@@ -212,8 +221,61 @@ class Merges:
         return out, place
 
 
+def merge_long(symbols: np.ndarray, merges: Merges) -> np.ndarray:
+    """Merge one sequence pair by pair, the lowest rank and of these the leftmost first; its cost is its length times a logarithm."""
+    n, table = len(symbols), merges.by_pair
+    first = merges.look(symbols[:-1], symbols[1:])[0].astype(np.int64)
+    some = np.flatnonzero(first != Merges.NONE)
+    heap = ((first[some] << 32) | some).tolist()
+    heapify(heap)
+    rank = [*first.tolist(), -1]
+    out, after, before = symbols.tolist(), list(range(1, n + 1)), list(range(-1, n - 1))
+
+    def paired(at: int, right: int):
+        found = table.get((out[at] << 20) | out[right]) if right < n else None
+        rank[at] = -1 if found is None else found[0]
+        if found is not None:
+            heappush(heap, (found[0] << 32) | at)
+
+    while heap:
+        top = heappop(heap)
+        at = top & 0xFFFFFFFF
+        if rank[at] != top >> 32:
+            continue
+        gone = after[at]
+        out[at] = table[(out[at] << 20) | out[gone]][1]
+        rank[gone], out[gone] = -1, -1
+        right = after[at] = after[gone]
+        if right < n:
+            before[right] = at
+        paired(at, right)
+        if before[at] >= 0:
+            paired(before[at], at)
+    left = np.array(out, np.int32)
+    return left[left >= 0]
+
+
 def merge(symbols: np.ndarray, lengths: np.ndarray, merges: Merges) -> tuple[np.ndarray, np.ndarray]:
-    """Merge ragged sequences together: each round applies the lowest-ranked pair of every sequence.
+    """Merge ragged sequences: those of BY_ITSELF symbols and more one by one, the others together."""
+    long = np.flatnonzero(lengths >= BY_ITSELF)
+    if not len(long):
+        return merge_together(symbols, lengths, merges)
+    starts = np.cumsum(lengths) - lengths
+    short = np.flatnonzero(lengths < BY_ITSELF)
+    flat, left = merge_together(symbols[expand(starts[short], lengths[short])], lengths[short], merges)
+    parts = [merge_long(symbols[starts[k] : starts[k] + lengths[k]], merges) for k in long]
+    out = np.empty(len(lengths), np.int64)
+    out[short], out[long] = left, [len(p) for p in parts]
+    begin = np.cumsum(out) - out
+    joined = np.empty(int(out.sum()), np.int32)
+    joined[expand(begin[short], left)] = flat
+    for k, part in zip(long, parts, strict=True):
+        joined[begin[k] : begin[k] + len(part)] = part
+    return joined, out
+
+
+def merge_together(symbols: np.ndarray, lengths: np.ndarray, merges: Merges) -> tuple[np.ndarray, np.ndarray]:
+    """Each round applies the lowest-ranked pair of every sequence.
 
     Returns the symbols left and their number for each sequence. A merged symbol only enters pairs of higher rank, so all
     places of one pair can be merged in the same round; of overlapping places every other one is, from the left.

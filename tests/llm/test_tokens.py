@@ -2,6 +2,7 @@
 
 import hashlib
 import random
+import time
 
 import numpy as np
 import public_tokenizers as public
@@ -112,3 +113,64 @@ def test_counts_in_spark(documents, rows):
     found = rows(counts.token_counts(documents(table), VOCABULARY, limit=2))
     assert found == [(None, 2, 1, False), (1, 5, 3, True), (2, 0, 0, False), (3, 0, 0, False), (5, 5, 3, True), (5, 5, 3, True)]
     assert counts.token_counts(documents([]), VOCABULARY).count() == 0
+
+
+def opposite_words(n):
+    """A Thue-Morse word over two letters and its complement, which every polynomial modulo a power of two confuses."""
+    word = "a"
+    while len(word) < n:
+        word += word.translate(str.maketrans("ab", "ba"))
+    return word, word.translate(str.maketrans("ab", "ba"))
+
+
+@pytest.mark.parametrize("n", [1024, 2048])
+def test_words_built_to_collide(n, reference):
+    one, other = opposite_words(n)
+    own = bpe.Codec(bpe.ranks_of(bpe.read_file(RANKS)))
+    counter = counts.Counter(bpe.read_file(VOCABULARY))
+    library = Tokenizer.from_file(VOCABULARY)
+    for made in ([f"{one} {other}"], [one, other, one], [other]):
+        ids, sizes = own.encode(*packed(made))
+        assert ids.tolist() == [i for t in made for i in reference.encode_ordinary(t)]
+        assert own.decode(ids.tolist()) == "".join(made).encode()
+        assert counter.count(*packed(made)).tolist() == [len(library.encode(t, add_special_tokens=False).ids) for t in made]
+
+
+def test_slices_that_share_a_hash_are_told_apart(monkeypatch, reference):
+    """With a hash of a few bits every piece has collisions, in the piece and with what is remembered."""
+    real = bpe.slice_hashes if hasattr(bpe, "slice_hashes") else None
+    from listmill.llm import arrays
+
+    few = arrays.slice_hashes
+    monkeypatch.setattr(arrays, "slice_hashes", lambda *a: few(*a) & np.uint64(15))
+    monkeypatch.setattr(bpe, "slice_hashes", lambda *a: real(*a) & np.uint64(15))
+    own, counter = bpe.Codec(bpe.ranks_of(bpe.read_file(RANKS))), counts.Counter(bpe.read_file(VOCABULARY))
+    library = Tokenizer.from_file(VOCABULARY)
+    r = random.Random(3)
+    for _ in range(30):
+        made = [" ".join("".join(r.choice("abcdé") for _ in range(r.randint(1, 30))) for _ in range(40))]
+        assert own.encode(*packed(made))[0].tolist() == reference.encode_ordinary(made[0])
+        assert counter.count(*packed(made)).tolist() == [len(library.encode(made[0], add_special_tokens=False).ids)]
+
+
+def test_long_words_take_seconds():
+    r = random.Random(1)
+    own, counter = bpe.codec(bpe.read_file(RANKS)), counts.counter(bpe.read_file(VOCABULARY))
+    for letters in ("abcdefghijklmnopqrstuvwxyz", "ACGT", "x", "中文字"):
+        text = "".join(r.choice(letters) for _ in range(1_000_000 // len(letters[0].encode())))
+        data, offsets = packed([text])
+        start = time.process_time()
+        ids, _ = own.encode(data, offsets)
+        counted = counter.count(data, offsets)
+        assert time.process_time() - start < 30
+        assert own.decode(ids.tolist()) == text.encode()
+        assert len(ids) == counted[0]
+
+
+@pytest.mark.parametrize("letters, n", [("abcdefghijklmnopqrstuvwxyz", 6000), ("ab", 5000), ("x", 700), ("中文é", 1500)])
+def test_long_words_equal_the_library(letters, n, reference):
+    r = random.Random(n)
+    text = "".join(r.choice(letters) for _ in range(n))
+    own = bpe.codec(bpe.read_file(RANKS))
+    assert own.encode(*packed([text]))[0].tolist() == reference.encode_ordinary(text)
+    assert own.encode(*packed(["a b", text, "c d"]))[0].tolist() == [i for t in ("a b", text, "c d") for i in reference.encode_ordinary(t)]
