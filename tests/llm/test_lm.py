@@ -64,18 +64,36 @@ def test_nothing_to_learn_from(documents):
     assert lm.scores(documents([]), RANKS).count() == 0
 
 
+def fit(m, ids, counts, steps=120):
+    adam = lm.Adam(m.w)
+    values, sizes, _, number = lm.segments(ids, counts)
+    own, first, target, _ = lm.segment_blocks(m, values, sizes, number > 0)
+    losses = []
+    for n in range(steps):
+        loss, grad = m.gradient(own, first, m.classes(target))
+        told = (target != -1).sum()
+        losses.append(loss / told)
+        adam.step({k: g / told for k, g in grad.items()}, 0.02 * (1 - 0.9 * n / steps))
+    return losses
+
+
 @pytest.fixture(scope="module")
 def model():
     own = bpe.codec(bpe.read_file(RANKS))
-    windows = []
-    for text in corpus(400, 3):
-        ids = own.encode(np.frombuffer(text.lower().encode(), np.uint8), np.array([0, len(text.encode())]))[0].tolist()
-        windows.append([*ids[:48], *([-1] if len(ids) <= 48 else [])])
-    fitted = lm.Model(windows, len(own.tokens))
-    fitted.losses = fitted.train(windows, steps=120)
+    raw = [t.lower().encode() for t in corpus(300, 3)]
+    ids, counts = own.encode(np.frombuffer(b"".join(raw), np.uint8), np.cumsum([0, *map(len, raw)]))
+    fitted = lm.Model(np.bincount(ids, minlength=len(own.tokens)), len(raw))
+    fitted.losses = fit(fitted, ids, counts)
+    assert fitted.losses[-1] < fitted.losses[0] - 0.3
     return fitted
 
 
+def chances(w, h):
+    """The probability of every class."""
+    soft = lambda x: np.exp(x - x.max(axis=-1, keepdims=True)) / np.exp(x - x.max(axis=-1, keepdims=True)).sum(axis=-1, keepdims=True)
+    return (soft(h @ w["group"] + w["group_bias"])[:, None] * soft(np.einsum("d,gdm->gm", h, w["member"]) + w["member_bias"])).ravel()
+
+
 def plain_score(m, ids):
     """One id after the other, by the formulas."""
     w = {k: v.astype(np.float64) for k, v in m.w.items()}
@@ -87,11 +105,7 @@ def plain_score(m, ids):
         s = k @ q / math.sqrt(lm.WIDTH) + w["far"][np.arange(t - low, -1, -1)]
         a = np.exp(s - s.max())
         h = np.tanh(e[-1] @ w["x"] + (a / a.sum()) @ v @ w["o"])
-        logits = h @ w["out"] + w["bias"]
-        p = np.exp(logits - logits.max())
-        p /= p.sum()
-        kind = 0 if target is None else int(m.kind[target])
-        total += math.log(p[kind]) + (0 if target is None else m.inside[target])
+        total += math.log(chances(w, h)[0 if target is None else int(m.kind[target])]) + (0 if target is None else m.inside[target])
     return total / math.log(10)
 
 
@@ -109,25 +123,35 @@ def test_probabilities_of_what_may_follow_sum_to_one(model):
     assert sorted(set(model.kind[model.kind > 1])) == list(range(2, lm.CLASSES))
 
 
-def test_gradient_is_that_of_the_loss(model):
-    m = lm.Model([[1, 2, 3]], 50_256)
+@pytest.mark.parametrize("plain", [60, -1])
+def test_gradient_is_that_of_the_loss(plain, monkeypatch):
+    """Also where the largest exponent is taken off first."""
+    monkeypatch.setattr(lm, "PLAIN", plain)
+    m = lm.Model(np.random.default_rng(4).integers(0, 9, 50_256))
     m.w = {k: v.astype(np.float64) for k, v in m.w.items()}
-    ids = np.arange(250, 330)
-    rows, first, target, _ = m.blocks(ids, np.array([50, 30]))
-    counted = target != -1
-    _, grad = m._step(rows, first, m.classes(target), counted)
+    values, sizes, _, number = lm.segments(np.arange(250, 330), np.array([50, 30]))
+    own, first, target, _ = lm.segment_blocks(m, values, sizes, number > 0)
+    _, grad = m.gradient(own, first, m.classes(target))
     r = np.random.default_rng(0)
     for name in m.w:
         flat = m.w[name].reshape(-1)
         some = np.flatnonzero(np.abs(grad[name].reshape(-1)) > 1e-6)
-        for at in r.choice(some, min(4, len(some)), replace=False):
-            old = flat[at]
-            flat[at] = old + 1e-4
-            up = m._step(rows, first, m.classes(target), counted)[0]
-            flat[at] = old - 1e-4
-            down = m._step(rows, first, m.classes(target), counted)[0]
+        for at in r.choice(some, min(6, len(some)), replace=False):
+            old, ends = flat[at], []
+            for shift in (1e-5, -1e-5):
+                flat[at] = old + shift
+                ends.append(m.gradient(own, first, m.classes(target))[0])
             flat[at] = old
-            assert grad[name].reshape(-1)[at] == pytest.approx((up - down) / 2e-4, abs=1e-4, rel=2e-2), name
+            assert grad[name].reshape(-1)[at] == pytest.approx((ends[0] - ends[1]) / 2e-5, abs=1e-5, rel=1e-4), name
+
+
+def test_the_loss_is_the_score(model):
+    ids = np.random.default_rng(6).integers(0, 3_000, 5_000)
+    counts = np.array([4_000, 0, 900, 100])
+    values, sizes, _, number = lm.segments(ids, counts)
+    own, first, target, _ = lm.segment_blocks(model, values, sizes, number > 0)
+    loss, _ = model.gradient(own, first, model.classes(target))
+    assert -(loss - model.inside[ids].sum()) / math.log(10) == pytest.approx(model.score(ids, counts).sum(), rel=1e-6)
 
 
 def test_the_model_beats_single_ids_on_held_out_texts(model):
@@ -147,28 +171,64 @@ def test_the_model_is_trained_on_every_id_of_every_training_row(documents):
     assert not held(100)
     ids, counts = own.encode(np.frombuffer(b"".join(train), np.uint8), np.cumsum([0, *map(len, train)]))
     expected = np.bincount(ids, minlength=len(own.tokens))
-    found = lm.learn(documents([row for row in table if not held(row[0])]), RANKS, "doc_id", "text")
+    df = documents(table)
+    folder = lm.stored_segments(lm.hashed_rows(df), RANKS)
+    found = lm.learn(df.sparkSession, folder, len(own.tokens))
     assert found.trained == len(ids) + len(train)
     rest = found.kind == 1
     assert found.inside[rest] == pytest.approx(np.log((expected + 1.0) / (expected[rest] + 1.0).sum())[rest])
     assert expected[found.kind > 1].min() >= expected[rest].max()
-    assert found.losses[-1] < found.losses[0]
+    assert found.score(ids, counts).sum() > lm.Model(expected, len(train)).score(ids, counts).sum()
 
 
-def test_segments_give_the_blocks_and_the_gradient_of_whole_texts():
+def test_segments_give_the_scores_and_the_gradient_of_whole_texts(monkeypatch):
     r = np.random.default_rng(5)
-    m = lm.Model([], 50_256, counts=r.integers(0, 9, 50_256))
-    ids, counts = r.integers(0, 50_256, 5_000), np.array([3_000, 0, 15, 16, 17, lm.SEGMENT - 1, 5_000 - 3_048 - lm.SEGMENT + 1])
-    rows, first, target, _ = m.blocks(ids, counts)
-    values, sizes, _, number = lm.segments(ids, counts)
-    cut = lm.segment_blocks(m, values, sizes, number > 0)
-    assert len(number) > len(counts)
-    assert (cut[0] == rows)[~first].all() and (cut[0] == rows)[:, lm.STRIDE :].all() and (cut[1] == first).all()
-    assert (cut[2] == np.where(target == -1, -1, m.classes(target))).all()
+    m = lm.Model(r.integers(0, 9, 50_256))
     m.w = {k: v.astype(np.float64) for k, v in m.w.items()}
-    loss, grad = m.gradient(*cut)
-    mean, expected = m._step(rows, first, m.classes(target), target != -1)
-    n = len(ids) + len(counts)
-    assert loss / n == pytest.approx(mean)
+    ids, counts = r.integers(0, 50_256, 5_000), np.array([3_000, 0, 15, 16, 17, lm.SEGMENT - 1, 5_000 - 3_048 - lm.SEGMENT + 1])
+
+    def results():
+        values, sizes, _, number = lm.segments(ids, counts)
+        own, first, target, _ = lm.segment_blocks(m, values, sizes, number > 0)
+        assert (target != -1).sum() == len(ids) + len(counts)
+        return len(sizes), m.score(ids, counts), m.gradient(own, first, m.classes(target))
+
+    cut, scores, (loss, grad) = results()
+    monkeypatch.setattr(lm, "SEGMENT", 1 << 20)
+    whole, expected, (one, other) = results()
+    assert cut > whole == len(counts)
+    assert scores == pytest.approx(expected) and loss == pytest.approx(one)
     for name in m.w:
-        assert grad[name] / n == pytest.approx(expected[name], abs=1e-12), name
+        assert grad[name] == pytest.approx(other[name], abs=1e-9), name
+
+
+def test_packed_ids_come_back():
+    for vocabulary in (300, 65_534, 65_535, 200_000):
+        values = np.array([-1, 0, 5, vocabulary - 1, -2, -1, -2])
+        back, sizes = lm._unpacked(lm._packed(values, np.array([5, 2]), vocabulary), vocabulary)
+        assert back.tolist() == values.tolist() and sizes.tolist() == [5, 2]
+
+
+@pytest.mark.parametrize("most", [0, 40, 1 << 18])
+def test_words_sent_to_all_and_words_joined_give_the_same(documents, monkeypatch, most):
+    df = documents([*enumerate(corpus(60)), (900, "zebra yak"), (901, "yak")])
+    monkeypatch.setattr(lm, "FREQUENT", most)
+    rows = lm.hashed_rows(df)
+    found, total = lm.base_scores(lm.stored_words(rows), 5)
+    counts = Counter(w for k, t in [*enumerate(corpus(60)), (900, "zebra yak"), (901, "yak")] if not held(k) for w in words(t))
+    assert total == sum(counts.values()) + 5
+    for r in found.collect():
+        text = "zebra yak" if r["key"] == 900 else "yak" if r["key"] == 901 else corpus(60)[r["key"]]
+        assert (r["n_tokens"], r["n_known"]) == (len(words(text)) + 1, sum(counts[w] > 0 for w in words(text)) + 1)
+        assert r["base_score"] == pytest.approx(sum(math.log10((x + 1) / (total + len(counts) + 2)) for x in [*(counts[w] for w in words(text)), 5]))
+
+
+def test_words_built_to_collide_are_two(documents):
+    word = "a"
+    while len(word) < 2048:
+        word += word.translate(str.maketrans("ab", "ba"))
+    other = word.translate(str.maketrans("ab", "ba"))
+    keys = [k for k in range(60) if not held(k)][:3]
+    found = {r["doc_id"]: r for r in lm.scores(documents([(keys[0], word), (keys[1], other), (keys[2], f"{word} {word}")]), RANKS).collect()}
+    one, two = found[keys[0]]["base_score"], found[keys[1]]["base_score"]
+    assert one - two == pytest.approx(math.log10(4) - math.log10(2))
