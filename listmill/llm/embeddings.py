@@ -11,7 +11,8 @@ that two vectors at the threshold meet somewhere with probability RECALL at leas
 
 Defined results: a vector that is null, empty, zero or holds a null or non-finite component has no links and is its own
 component; a row without an id has no links, a null component and is not kept; vectors of different lengths are never linked;
-rows that repeat an id are vectors of their own, and share a component only by links; other columns are not looked at.
+rows that repeat an id are vectors of their own, and share a component only by links or as their ids are the smallest of theirs;
+other columns are not looked at.
 """
 
 from __future__ import annotations
@@ -115,8 +116,9 @@ def near_duplicates(
     """key, n_links, component_id and kept of every row of ``df``."""
     rows = df.select(F.col(key).alias("id"), F.col(vector).cast("array<double>").alias("v"))
     rows = rows.withColumn("v", F.when(_sound("v"), F.transform("v", lambda x: F.when(x == 0, 0.0).otherwise(x))))
-    distinct = rows.filter(F.col("v").isNotNull()).groupBy("v").agg(F.min("id").alias("rep"), F.count(F.lit(1)).alias("weight"))
-    distinct = settle(distinct)
+    distinct = rows.filter(F.col("v").isNotNull()).groupBy("v").agg(F.min("id").alias("id"), F.count(F.lit(1)).alias("weight"))
+    # a vector is named by a number of its own, as an id may stand for several
+    distinct = settle(distinct.withColumn("rep", F.monotonically_increasing_id()))
     bits, tables = plan(distinct.count(), cosine, recall)
 
     def sign(batches):
@@ -175,11 +177,13 @@ def near_duplicates(
     found = settle(narrow.groupBy(*group).applyInArrow(compare, "a long, b long, n long"))
     links = found.filter(F.col("b").isNull()).groupBy(F.col("a").alias("rep")).agg(F.sum("n").alias("n"))
     forest = components(found.filter(F.col("b").isNotNull()))
-    classes = distinct.select("rep", "weight", *_hashed("v")).join(links, "rep", "left")
+    classes = distinct.select("rep", "id", "weight", *_hashed("v")).join(links, "rep", "left")
     classes = classes.join(forest.withColumnRenamed("node", "rep"), "rep", "left")
     classes = settle(classes.select(
-        "h1", "h2", (F.coalesce("n", F.lit(0)) + F.col("weight") - 1).alias("links"), F.coalesce("root", "rep").alias("root")
+        "h1", "h2", "id", (F.coalesce("n", F.lit(0)) + F.col("weight") - 1).alias("links"), F.coalesce("root", "rep").alias("top")
     ))
+    lowest = classes.groupBy("top").agg(F.min("id").alias("root"))
+    classes = classes.drop("id").join(lowest, "top")
     # rows without a sound vector have a null key and meet no class
     keyed = rows.select("id", *(F.when(F.col("v").isNotNull(), h).alias(n) for h, n in zip(_hashed("v"), ("h1", "h2"), strict=True)))
     joined = keyed.join(classes, ["h1", "h2"], "left").withColumn("root", F.coalesce("root", "id"))

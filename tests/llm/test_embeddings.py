@@ -97,3 +97,10 @@ def test_components(spark, seed):
     found = components(spark.createDataFrame(links, "a long, b long"))
     assert {r["node"]: r["root"] for r in found.collect()} == {k: find(k) for k in root}
     assert components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+def test_unlike_vectors_may_share_an_id(spark, rows):
+    table = [(1, [1.0, 0.0]), (1, [0.0, 1.0]), (2, [1.0, 0.01]), (3, [0.01, 1.0]), (4, [1.0, 0.0]), (0, [-1.0, 0.0]), (0, [0.7, 0.7])]
+    found = rows(embeddings.near_duplicates(spark.createDataFrame(table, "vec_id long, embedding array<double>")))
+    assert found == sorted(brute(table))
+    assert [r[1] for r in found if r[0] in (1, 4)] == [1, 2, 2]

@@ -91,7 +91,8 @@ def model():
 def chances(w, h):
     """The probability of every class."""
     soft = lambda x: np.exp(x - x.max(axis=-1, keepdims=True)) / np.exp(x - x.max(axis=-1, keepdims=True)).sum(axis=-1, keepdims=True)
-    return (soft(h @ w["group"] + w["group_bias"])[:, None] * soft(np.einsum("d,gdm->gm", h, w["member"]) + w["member_bias"])).ravel()
+    h = np.append(h, 1)
+    return (soft(h @ w["group"])[:, None] * soft(np.einsum("d,gdm->gm", h, w["member"]))).ravel()
 
 
 def plain_score(m, ids):
@@ -102,9 +103,9 @@ def plain_score(m, ids):
         low = max(0, (t // lm.STRIDE - 1) * lm.STRIDE)
         e = w["e"][seq[low : t + 1]]
         q, k, v = e[-1] @ w["q"], e @ w["k"], e @ w["v"]
-        s = k @ q / math.sqrt(lm.WIDTH) + w["far"][np.arange(t - low, -1, -1)]
+        s = k @ q / math.sqrt(lm.KEY) + w["far"][np.arange(t - low, -1, -1)]
         a = np.exp(s - s.max())
-        h = np.tanh(e[-1] @ w["x"] + (a / a.sum()) @ v @ w["o"])
+        h = np.tanh(e[-1] + (a / a.sum()) @ v @ w["o"])
         total += math.log(chances(w, h)[0 if target is None else int(m.kind[target])]) + (0 if target is None else m.inside[target])
     return total / math.log(10)
 
@@ -169,11 +170,9 @@ def test_the_model_is_trained_on_every_id_of_every_training_row(documents):
     table = [*enumerate(corpus(40, 5)), (100, "anon there " * 2_000 + "zebra " + "anon there " * 3_000), (101, None), (102, "")]
     train = [(t or "").lower().encode() for k, t in table if not held(k)]
     assert not held(100)
-    ids, counts = own.encode(np.frombuffer(b"".join(train), np.uint8), np.cumsum([0, *map(len, train)]))
+    ids, counts, *_ = lm.WordCodec(own).encode(np.frombuffer(b"".join(train), np.uint8), np.cumsum([0, *map(len, train)]))
     expected = np.bincount(ids, minlength=len(own.tokens))
-    df = documents(table)
-    folder = lm.stored_segments(lm.hashed_rows(df), RANKS)
-    found = lm.learn(df.sparkSession, folder, len(own.tokens))
+    found = lm.learn(lm.read_texts(lm.hashed_rows(documents(table)), RANKS), len(train))
     assert found.trained == len(ids) + len(train)
     rest = found.kind == 1
     assert found.inside[rest] == pytest.approx(np.log((expected + 1.0) / (expected[rest] + 1.0).sum())[rest])
@@ -214,7 +213,7 @@ def test_words_sent_to_all_and_words_joined_give_the_same(documents, monkeypatch
     df = documents([*enumerate(corpus(60)), (900, "zebra yak"), (901, "yak")])
     monkeypatch.setattr(lm, "FREQUENT", most)
     rows = lm.hashed_rows(df)
-    found, total = lm.base_scores(lm.stored_words(rows), 5)
+    found, total = lm.base_scores(lm.read_texts(rows, RANKS).chunks(), 5)
     counts = Counter(w for k, t in [*enumerate(corpus(60)), (900, "zebra yak"), (901, "yak")] if not held(k) for w in words(t))
     assert total == sum(counts.values()) + 5
     for r in found.collect():
@@ -232,3 +231,18 @@ def test_words_built_to_collide_are_two(documents):
     found = {r["doc_id"]: r for r in lm.scores(documents([(keys[0], word), (keys[1], other), (keys[2], f"{word} {word}")]), RANKS).collect()}
     one, two = found[keys[0]]["base_score"], found[keys[1]]["base_score"]
     assert one - two == pytest.approx(math.log10(4) - math.log10(2))
+
+
+def test_words_are_encoded_as_the_library_would_with_a_blank_before_them(monkeypatch):
+    import public_tokenizers as public
+    import tiktoken
+
+    library = tiktoken.Encoding("own", pat_str=public.PATTERN, mergeable_ranks=bpe.ranks_of(bpe.read_file(RANKS)), special_tokens={})
+    monkeypatch.setattr(lm, "CACHED_WORDS", 50)
+    own = lm.WordCodec(bpe.codec(bpe.read_file(RANKS)))
+    texts = ["", *corpus(20, 8), " it's  done,  \n\tnaïve 中文 x" * 9, " ", "end"]
+    for text in (texts[:9], texts[9:], texts):
+        raw = [t.encode() for t in text]
+        ids, counts, *_ = own.encode(np.frombuffer(b"".join(raw), np.uint8), np.cumsum([0, *map(len, raw)]))
+        expected = [[i for w in re.findall("[^ \t\n\x0b\x0c\r]+", t) for i in library.encode_ordinary(" " + w)] for t in text]
+        assert counts.tolist() == [len(e) for e in expected] and ids.tolist() == [i for e in expected for i in e]
