@@ -102,6 +102,11 @@ _CRAWLS_SQL = """v AS (SELECT 3 * vec_id AS pos, label AS title, list_transform(
   a.title = b.title AS one FROM v a JOIN v b ON a.pos > b.pos AND a.pos - b.pos <= 4000)
 SELECT later, earlier, round(c, 6) AS cosine FROM p WHERE c > 0.99 OR (c > 0.95 AND one)""")
 def cosine_pairs(spark, sf):
+    pairs = lookback.similar_pairs(_crawls(spark, sf), "pos", "title", "e")
+    return pairs.withColumn("cosine", F.round("cosine", 6))
+
+
+def _crawls(spark, sf):
     vectors = table(spark, sf, "embeddings").withColumn("e", F.col("embedding").cast("array<double>"))
     crawls = F.array(
         F.struct((F.col("vec_id") * 3).alias("pos"), F.col("label").alias("title"), F.col("e")),
@@ -114,9 +119,25 @@ def cosine_pairs(spark, sf):
             F.transform("e", lambda x: F.round(x, 1)).alias("e"),
         ),
     )
-    rows = vectors.select(F.explode(crawls).alias("c")).select("c.*")
-    pairs = lookback.similar_pairs(rows, "pos", "title", "e")
-    return pairs.withColumn("cosine", F.round("cosine", 6))
+    return vectors.select(F.explode(crawls).alias("c")).select("c.*")
+
+
+# Each item against a list of the kept items before it, of 41 at most, whose oldest ten go when the next item comes.
+_HELD = 40
+
+
+@query(f"""WITH RECURSIVE {_CRAWLS_SQL}, o AS (SELECT row_number() OVER (ORDER BY pos) AS i, pos, title, e FROM v),
+near AS MATERIALIZED (SELECT a.i, list(b.pos) AS like_ FROM o a JOIN o b ON b.i < a.i AND (list_cosine_similarity(a.e, b.e) > 0.99
+  OR (list_cosine_similarity(a.e, b.e) > 0.95 AND a.title IS NOT DISTINCT FROM b.title)) GROUP BY a.i),
+s AS MATERIALIZED (SELECT o.i, o.pos, coalesce(like_, []) AS like_ FROM o LEFT JOIN near USING (i)),
+rec AS (SELECT 0::BIGINT AS i, NULL::BIGINT AS pos, false AS kept, []::BIGINT[] AS held UNION ALL
+  SELECT i, pos, NOT list_has_any(old, like_), CASE WHEN list_has_any(old, like_) THEN old ELSE list_append(old, pos) END
+  FROM (SELECT s.i, s.pos, s.like_, CASE WHEN len(held) > {_HELD} THEN held[{_HELD // 4 + 1}:] ELSE held END AS old
+    FROM rec JOIN s ON s.i = rec.i + 1))
+SELECT pos, kept FROM rec WHERE i > 0""")
+def lookback_keep(spark, sf):
+    """Items kept by comparison with a bounded list of kept items, its oldest quarter evicted."""
+    return lookback.keep(_crawls(spark, sf), "pos", "title", "e", look_back=_HELD, block_rows=500)
 
 
 @query("""WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: x::DOUBLE) AS e FROM embeddings)

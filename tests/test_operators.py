@@ -311,3 +311,53 @@ def test_a_long_transcript_is_joined_by_blocks(spark):
     assert max(r._text.count("\n") for r in blocks) <= 256 and len(blocks) == 4 + 3
     found = {r.c: r.transcript for r in conversations.transcript(turns, "c", "t", "role", "text").collect()}
     assert found == {1: "".join(f"user: m{t}\n" for t in range(1000)), 2: "bot: x\nbot: y\nunknown: \n"}
+
+
+def kept_by_list(items, look_back, same=0.95, any_=0.99):
+    """The list of kept items as a loop."""
+    held, out = [], {}
+    for pos, title, vec in sorted(items, key=lambda i: i[0]):
+        if len(held) > look_back:
+            held = held[look_back // 4 :]
+        v = None if vec is None or None in vec or not any(vec) else np.array(vec) / np.linalg.norm(vec)
+        like = False
+        for other_title, other in held:
+            if v is not None and other is not None and len(v) == len(other):
+                c = float(v @ other)
+                like |= c > any_ or (c > same and title == other_title)
+        out[pos] = not like
+        if not like:
+            held.append((title, v))
+    return out
+
+
+@pytest.mark.parametrize("look_back, block_rows, seed", [(4, 400, 1), (9, 500, 2), (20, 300, 3), (4000, None, 5)])
+def test_lookback_keep_equals_a_list(spark, look_back, block_rows, seed):
+    r = np.random.default_rng(seed)
+    centers = r.standard_normal((12, 4))
+    items, pos = [], 0
+    for _ in range(260):
+        pos += int(r.integers(1, 9)) if r.random() < 0.9 else 60
+        vec = (centers[r.integers(0, 12)] + r.choice([0.0, 0.05, 0.2]) * r.standard_normal(4)).tolist()
+        vec = vec if r.random() < 0.9 else [None, [], [0.0] * 4, [1.0, None, 2.0, 3.0], vec[:3]][r.integers(0, 5)]
+        items.append((pos, str(r.choice(["a", "b"])) if r.random() < 0.9 else None, vec))
+    df = spark.createDataFrame([(*i, "x", 1) for i in items], "p long, t string, v array<double>, own string, number int").repartition(3)
+    found = lookback.keep(df, "p", "t", "v", look_back=look_back, block_rows=block_rows)
+    rows = found.collect()
+    assert found.columns == ["p", "kept"] and len(rows) == len(items)
+    assert {row.p: row.kept for row in rows} == kept_by_list(items, look_back)
+
+
+def test_lookback_keep_of_nothing(spark):
+    df = spark.createDataFrame([], "p long, t string, v array<double>")
+    assert lookback.keep(df, "p", "t", "v").count() == 0
+
+
+def test_lookback_keep_by_source(spark):
+    r = np.random.default_rng(9)
+    items = [(k, "a", [1.0, float(r.integers(0, 6)) / 7]) for k in range(120)]
+    rows = [(*i, ["x", "y", None][i[0] % 3]) for i in items]
+    df = spark.createDataFrame(rows, "p long, t string, v array<double>, site string")
+    found = {(row.site, row.p): row.kept for row in lookback.keep(df, "p", "t", "v", look_back=5, block_rows=60, source="site").collect()}
+    expected = {(site, p): kept for site in ("x", "y", None) for p, kept in kept_by_list([i[:3] for i in rows if i[3] == site], 5).items()}
+    assert found == expected
