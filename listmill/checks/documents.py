@@ -152,14 +152,14 @@ def cosine_to_previous(spark, sf):
     return joined.select("vec_id", F.round(cosine(F.col("embedding"), F.col("before")), 8).alias("cosine"))
 
 
-_QUERIES = [(1, "smal widgat"), (2, "rde"), (3, "coppor plate ng"), (4, "zzzzzz")]
+_QUERIES = [(1, "smal widgat"), (2, "rde"), (3, "coppor plate ng"), (4, "zzzzzz"), (5, "wigdet"), (6, "samll rde"), (7, "polihsde")]
 _QUERIES_SQL = "VALUES " + ", ".join(f"({i}, '{q}')" for i, q in _QUERIES)
 
 
 @query(f"""WITH q(query_id, query) AS ({_QUERIES_SQL}),
 qt AS (SELECT query_id, unnest({TOKENS_SQL.format('query')}) AS q FROM q),
 pt AS (SELECT p_partkey, unnest({TOKENS_SQL.format("p_name || ' ' || p_type")}) AS w FROM part)
-SELECT DISTINCT query_id, p_partkey FROM qt JOIN pt ON levenshtein(w, q) <= CASE WHEN length(q) <= 2 THEN 0 WHEN length(q) <= 5 THEN 1 ELSE 2 END""")
+SELECT DISTINCT query_id, p_partkey FROM qt JOIN pt ON damerau_levenshtein(w, q) <= CASE WHEN length(q) <= 2 THEN 0 WHEN length(q) <= 5 THEN 1 ELSE 2 END""")
 def fuzzy_description(spark, sf):
     queries = spark.createDataFrame(_QUERIES, "query_id int, query string")
     parts = table(spark, sf, "part").withColumn("text", F.concat_ws(" ", "p_name", "p_type"))
