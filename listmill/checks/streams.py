@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from listmill import fixed
+from listmill.checks.documents import TOKENS_SQL
 from listmill.checks.jobs import EXTRA_NAMES, _SHOWN, clean_sql, shown
 from listmill.checks.registry import query
 from listmill.checks.views import LISTINGS_SQL, RAW_SQL, case, listings, raw_listings, table
@@ -13,7 +14,7 @@ from listmill.plans import jobs
 from listmill.schema import LISTING_MESSAGE
 from listmill.session import fresh_dir
 from listmill.sources import files, messages, tables
-from listmill.streaming import flows
+from listmill.streaming import flows, neardup
 
 MESSAGE_FIELDS = [f.name for f in LISTING_MESSAGE.fields]
 _EVENTS = "event_id long, ts timestamp_ntz, user_id long, event_type string, value double, props string"
@@ -217,3 +218,36 @@ def crawl_mixed_files(spark, sf):
     arrays.select(F.concat(F.lit("\n[\n  "), "v", F.lit("\n]")).alias("value")).repartition(4).write.option("maxRecordsPerFile", "1").text(f"{root}/arrays")
     back = files.read_crawl(spark, root, "*.txt")
     return back.select("post_id", "square", F.col("file_path").contains("/arrays/").alias("in_array"))
+
+
+# Four message files in order of arrival; a list of five and a memory of 400 seconds are small enough to lose entries.
+_NEAR = {"least": 13, "most": 5, "keep_seconds": 400}
+_SIGNATURE_SQL = " || ".join(
+    f"list_min(list_transform(w, lambda t: substr(md5('{k // 4}:' || t), {8 * (k % 4) + 1}, 8)))" for k in range(16)
+)
+
+
+@query(rf"""WITH RECURSIVE t AS MATERIALIZED (SELECT doc_id, list_distinct({TOKENS_SQL.format('text')}) AS w FROM documents),
+s AS MATERIALIZED (SELECT doc_id, CASE WHEN len(w) > 0 THEN {_SIGNATURE_SQL} END AS sig FROM t),
+b AS (SELECT doc_id, sig, unnest(range(0, 8)) AS band FROM s WHERE sig IS NOT NULL),
+o AS MATERIALIZED (SELECT *, substr(sig, band * 16 + 1, 16) AS v, row_number() OVER (PARTITION BY band, substr(sig, band * 16 + 1, 16) ORDER BY doc_id) AS i FROM b),
+rec AS (SELECT band, v, 0::BIGINT AS i, NULL::BIGINT AS doc_id, false AS dup, []::STRUCT(place BIGINT, sig VARCHAR)[] AS held
+  FROM (SELECT DISTINCT band, v FROM o) UNION ALL
+  SELECT band, v, i, doc_id, dup, CASE WHEN dup THEN old ELSE list_append(old, {{'place': doc_id, 'sig': sig}})[-{_NEAR['most']}:] END FROM (
+    SELECT *, len(list_filter(old, lambda h: list_sum(list_transform(range(0, 16), lambda k: (substr(h.sig, k * 8 + 1, 8) = substr(sig, k * 8 + 1, 8))::INTEGER))
+      >= {_NEAR['least']})) > 0 AS dup FROM (SELECT o.*, list_filter(held, lambda h: h.place >= o.doc_id - {_NEAR['keep_seconds']}) AS old
+        FROM rec JOIN o ON o.band = rec.band AND o.v = rec.v AND o.i = rec.i + 1)))
+SELECT d.doc_id, coalesce(NOT bool_or(dup), true) AS kept FROM documents d LEFT JOIN rec ON rec.doc_id = d.doc_id GROUP BY d.doc_id""")
+def stream_near_dup(spark, sf):
+    """Near copies suppressed on a stream, band by band, against bounded lists of kept signatures."""
+    folder, out = fresh_dir(spark, "documents"), fresh_dir(spark, "near")
+    docs = table(spark, sf, "documents").select("doc_id", "text", F.timestamp_seconds(F.col("doc_id") + 1_700_000_000).alias("moment"))
+    last = docs.agg(F.max("doc_id")).first()[0]
+    for part in range(4):
+        # files are read in the order they were written
+        docs.where(F.expr(f"doc_id * 4 div {last + 1} = {part}")).coalesce(1).write.mode("append").parquet(folder)
+    neardup.state_settings(spark)
+    stream = messages.file_stream(spark, folder, docs.schema, "parquet", max_files=1)
+    decided = neardup.decisions(stream, "doc_id", "text", "moment", "10 seconds", **_NEAR)
+    neardup.write_unique(decided, out, fresh_dir(spark, "near-checkpoint"), once=True).awaitTermination()
+    return spark.read.parquet(out).select(F.col("id").cast("long").alias("doc_id"), "kept")
