@@ -66,12 +66,11 @@ def test_nothing_to_learn_from(documents):
 
 def fit(m, ids, counts, steps=120):
     adam = lm.Adam(m.w)
-    values, sizes, _, number = lm.segments(ids, counts)
-    own, first, target, _ = lm.segment_blocks(m, values, sizes, number > 0)
+    own, first, kinds, _ = lm.blocks(m, lm.segments(ids, counts, len(m.row)))
     losses = []
     for n in range(steps):
-        loss, grad = m.gradient(own, first, m.classes(target))
-        told = (target != -1).sum()
+        loss, grad = m.gradient(own, first, kinds)
+        told = (kinds >= 0).sum()
         losses.append(loss / told)
         adam.step({k: g / told for k, g in grad.items()}, 0.02 * (1 - 0.9 * n / steps))
     return losses
@@ -130,9 +129,8 @@ def test_gradient_is_that_of_the_loss(plain, monkeypatch):
     monkeypatch.setattr(lm, "PLAIN", plain)
     m = lm.Model(np.random.default_rng(4).integers(0, 9, 50_256))
     m.w = {k: v.astype(np.float64) for k, v in m.w.items()}
-    values, sizes, _, number = lm.segments(np.arange(250, 330), np.array([50, 30]))
-    own, first, target, _ = lm.segment_blocks(m, values, sizes, number > 0)
-    _, grad = m.gradient(own, first, m.classes(target))
+    own, first, kinds, _ = lm.blocks(m, lm.segments(np.arange(250, 330), np.array([50, 30]), 50_256))
+    _, grad = m.gradient(own, first, kinds)
     r = np.random.default_rng(0)
     for name in m.w:
         flat = m.w[name].reshape(-1)
@@ -141,7 +139,7 @@ def test_gradient_is_that_of_the_loss(plain, monkeypatch):
             old, ends = flat[at], []
             for shift in (1e-5, -1e-5):
                 flat[at] = old + shift
-                ends.append(m.gradient(own, first, m.classes(target))[0])
+                ends.append(m.gradient(own, first, kinds)[0])
             flat[at] = old
             assert grad[name].reshape(-1)[at] == pytest.approx((ends[0] - ends[1]) / 2e-5, abs=1e-5, rel=1e-4), name
 
@@ -149,9 +147,8 @@ def test_gradient_is_that_of_the_loss(plain, monkeypatch):
 def test_the_loss_is_the_score(model):
     ids = np.random.default_rng(6).integers(0, 3_000, 5_000)
     counts = np.array([4_000, 0, 900, 100])
-    values, sizes, _, number = lm.segments(ids, counts)
-    own, first, target, _ = lm.segment_blocks(model, values, sizes, number > 0)
-    loss, _ = model.gradient(own, first, model.classes(target))
+    own, first, kinds, _ = lm.blocks(model, lm.segments(ids, counts, len(model.row)))
+    loss, _ = model.gradient(own, first, kinds)
     assert -(loss - model.inside[ids].sum()) / math.log(10) == pytest.approx(model.score(ids, counts).sum(), rel=1e-6)
 
 
@@ -187,10 +184,10 @@ def test_segments_give_the_scores_and_the_gradient_of_whole_texts(monkeypatch):
     ids, counts = r.integers(0, 50_256, 5_000), np.array([3_000, 0, 15, 16, 17, lm.SEGMENT - 1, 5_000 - 3_048 - lm.SEGMENT + 1])
 
     def results():
-        values, sizes, _, number = lm.segments(ids, counts)
-        own, first, target, _ = lm.segment_blocks(m, values, sizes, number > 0)
-        assert (target != -1).sum() == len(ids) + len(counts)
-        return len(sizes), m.score(ids, counts), m.gradient(own, first, m.classes(target))
+        cut = lm.segments(ids, counts, 50_256)
+        own, first, kinds, _ = lm.blocks(m, cut)
+        assert (kinds >= 0).sum() == len(ids) + len(counts)
+        return len(cut.sizes), m.score(ids, counts), m.gradient(own, first, kinds)
 
     cut, scores, (loss, grad) = results()
     monkeypatch.setattr(lm, "SEGMENT", 1 << 20)
@@ -201,11 +198,18 @@ def test_segments_give_the_scores_and_the_gradient_of_whole_texts(monkeypatch):
         assert grad[name] == pytest.approx(other[name], abs=1e-9), name
 
 
-def test_packed_ids_come_back():
-    for vocabulary in (300, 65_534, 65_535, 200_000):
-        values = np.array([-1, 0, 5, vocabulary - 1, -2, -1, -2])
-        back, sizes = lm._unpacked(lm._packed(values, np.array([5, 2]), vocabulary), vocabulary)
-        assert back.tolist() == values.tolist() and sizes.tolist() == [5, 2]
+@pytest.mark.parametrize("vocabulary", [300, 65_533, 65_534, 200_000])
+def test_stored_segments_come_back(vocabulary):
+    import pyarrow as pa
+
+    cut = lm.segments(np.array([0, 5, vocabulary - 1, *range(200)] * 20), np.array([3_000, 0, 1_060]), vocabulary)
+    batch = pa.RecordBatch.from_arrays(
+        [pa.array(cut.number), lm._binary(cut.context.ravel(), np.full(len(cut.sizes), lm.STRIDE + 1)), lm._binary(cut.codes, cut.sizes)],
+        names=["number", "context", "ids"],
+    )
+    back = lm.stored_segments(batch.slice(1), vocabulary)
+    assert len(cut.sizes) > 3 and back.number.tolist() == cut.number[1:].tolist() and back.sizes.tolist() == cut.sizes[1:].tolist()
+    assert (back.codes == cut.codes[cut.sizes[0] :]).all() and (back.context == cut.context[1:]).all()
 
 
 @pytest.mark.parametrize("most", [0, 40, 1 << 18])
