@@ -5,10 +5,9 @@ when it has at least ``threshold`` of its words. Such a block must hold one of t
 ordered template (prefix filter), must have enough distinct words (length filter), and from a common word on, neither
 side may have too few words left in the order to reach the number needed (positional filter). What passes is counted.
 
-Blocks of a template are windows of twice its words, each starting half a window after the last, so any passage as long
-as the template lies whole in one. A longer passage, with words put in, may lie across two of them. So the same window is also
-slid word by word around the words of the prefix: passages are all its runs of places, with the best containment of each, and
-no passage of up to twice the template's words is lost by where it starts. Templates are a stated set of bounded size and are
+A window of twice the template's words is slid word by word around the words of the prefix, where the filters leave a run of places:
+passages are the runs, with the best containment of each, and no passage of up to twice the template's words is lost by where it starts.
+Blocks, for those who want a fixed grid, are windows of the same length that each start half a window after the last. Templates are a stated set of bounded size and are
 sent to every worker.
 
 Beside this the scan reports base places: where a phrase's words stand one after the other.
@@ -67,7 +66,7 @@ class Index:
 
     def __init__(self, templates: list[tuple[str, str]], frequency: dict[bytes, int], threshold: float, phrases: dict[str, str]):
         self.phrases = [(tuple(words_of(p)), label) for p, label in phrases.items()]
-        self.templates = []
+        self.templates, self.orders = [], []
         self.prefix: dict[bytes, list[tuple[int, int]]] = defaultdict(list)
         every = {w for _, text in templates for w in words_of(text)}
         self.place = {w: k for k, w in enumerate(sorted(every, key=lambda w: (frequency.get(w, 0), w)))}
@@ -78,6 +77,7 @@ class Index:
             ordered = sorted(set(words), key=self.place.__getitem__)
             needed = math.ceil(threshold * len(ordered) - 1e-9)
             self.templates.append((label, frozenset(ordered), len(words), needed))
+            self.orders.append({w: k for k, w in enumerate(ordered)})
             for at, word in enumerate(ordered[: len(ordered) - needed + 1]):
                 self.prefix[word].append((number, at))
         self.rare = frozenset(self.prefix)
@@ -144,6 +144,14 @@ class Index:
                 while k < len(places) and places[k] - last < width:
                     last, k = places[k], k + 1
                 high = min(len(words), last + width)
+                # what rules out the whole run rules out its windows: too few words, or too few from the first common one on
+                held_words, order = set(words[low:high]), self.orders[number]
+                if len(held_words) < needed:
+                    continue
+                rarest = min(held_words & template, key=order.__getitem__)
+                behind = sum(self.place.get(w, -1) >= self.place[rarest] for w in held_words)
+                if min(len(template) - order[rarest], behind) < needed:
+                    continue
                 # the places of the template's words; a window that is best begins at one of them
                 found = [at for at in range(low, high) if words[at] in template]
                 if len(found) < needed:
@@ -202,9 +210,12 @@ _BLOCKS = pa.list_(pa.struct([("label", pa.string()), ("first", pa.int64()), ("e
 
 def scan(
     df: DataFrame, key: str = "doc_id", text: str = "text", templates: list[tuple[str, str]] = TEMPLATES,
-    phrases: dict[str, str] = PHRASES, threshold: float = THRESHOLD,
+    phrases: dict[str, str] = PHRASES, threshold: float = THRESHOLD, grid: bool = True,
 ) -> DataFrame:
-    """key, n_words, base places (label, first word), blocks and passages (label, first word, end, containment) of every row."""
+    """key, n_words, base places (label, first word), blocks and passages (label, first word, end, containment) of every row.
+
+    Without ``grid`` blocks are not looked for and empty.
+    """
     wanted = {w for _, t in templates for w in words_of(t)}
     index = Index(templates, word_frequencies(df, text, wanted), threshold, phrases)
     sent = df.sparkSession.sparkContext.broadcast(index)
@@ -220,7 +231,7 @@ def scan(
                 words = folded.split()
                 counts.append(len(words))
                 places.append([{"label": a, "word": b} for a, b in own.base(folded, words)])
-                blocks.append([dict(zip(("label", "first", "end", "containment"), b, strict=True)) for b in own.blocks(words)])
+                blocks.append([dict(zip(("label", "first", "end", "containment"), b, strict=True)) for b in (own.blocks(words) if grid else ())])
                 passages.append([dict(zip(("label", "first", "end", "containment"), b, strict=True)) for b in own.passages(words)])
             arrays = [
                 batch.column("key"), pa.array(counts, pa.int64()), pa.array(places, _PLACES), pa.array(blocks, _BLOCKS), pa.array(passages, _BLOCKS)
@@ -233,9 +244,8 @@ def scan(
 def report(docs: DataFrame) -> DataFrame:
     """doc_id with the number of words, base places, their labels, all labels and the best containment."""
     joined = lambda names: F.array_join(F.array_sort(F.array_distinct(names)), ",")
-    # the best window is at least as good as the best block
     base, method = F.col("places.label"), F.col("passages.label")
-    return scan(docs).select(
+    return scan(docs, grid=False).select(
         "doc_id",
         "n_words",
         F.size("places").cast("long").alias("n_base"),

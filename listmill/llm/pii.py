@@ -17,6 +17,7 @@ from __future__ import annotations
 
 import random
 import re
+from bisect import bisect_right
 from functools import cache
 
 import numpy as np
@@ -347,9 +348,18 @@ def accept(text: str, kind: int, start: int, end: int) -> bool:
 def add_spans(text: str, base: list[tuple[int, int, int]], tagged: list[tuple[int, int, int]]) -> list[tuple[int, int, int]]:
     """The rules' spans and, of the tagged ones, those that pass their check and touch no other."""
     out = list(base)
+    # what is taken, as stretches that do not meet, in order
+    starts, ends = [], []
+    for low, high in sorted((a, b) for _, a, b in base):
+        if ends and low < ends[-1]:
+            ends[-1] = max(ends[-1], high)
+        else:
+            starts.append(low), ends.append(high)
     for kind, start, end in tagged:
-        if all(end <= a or b <= start for _, a, b in out) and accept(text, kind, start, end):
+        at = bisect_right(ends, start)
+        if (at == len(starts) or end <= starts[at]) and accept(text, kind, start, end):
             out.append((kind, start, end))
+            starts.insert(at, start), ends.insert(at, end)
     return sorted(out)
 
 

@@ -166,3 +166,23 @@ def test_report_and_mask(documents, rows):
     assert got[503].endswith("on <ip>")
     assert pii.report(documents([])).count() == 0
     assert rows(pii.report(documents([(1, "no data")])), "spans") == [("",)]
+
+
+def test_added_spans_equal_a_comparison_with_all():
+    import random
+    import time
+
+    r = random.Random(3)
+    for _ in range(300):
+        base = sorted((k % 4, a, a + r.randrange(1, 9)) for k, a in enumerate(r.sample(range(200), 8)))
+        text = "".join(r.choice("0123456789 +") for _ in range(220))
+        tagged = [(r.randrange(4), a, a + r.randrange(1, 20)) for a in r.sample(range(190), 30)]
+        out = list(base)
+        for kind, start, end in tagged:
+            if all(end <= a or b <= start for _, a, b in out) and pii.accept(text, kind, start, end):
+                out.append((kind, start, end))
+        assert pii.add_spans(text, base, tagged) == sorted(out)
+    spans = [(3, 20 * k, 20 * k + 15) for k in range(40_000)]
+    start = time.process_time()
+    pii.add_spans("x" * 800_000, spans[::2], spans[1::2])
+    assert time.process_time() - start < 2
