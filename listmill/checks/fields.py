@@ -196,6 +196,30 @@ def unicode_normalise(spark, sf):
     return docs.select("doc_id", F.md5("t").alias("digest"), F.length("t").alias("n"))
 
 
+# Syllables as they are typed, in the old and in the new spelling.
+_SYLLABLES = [
+    ("baỏ", "bảo", "bảo"), ("lựơng", "lượng", "lượng"), ("nghịêm", "nghiệm", "nghiệm"), ("hoá", "hóa", "hoá"), ("hòa", "hòa", "hoà"),
+    ("thuỷ", "thủy", "thuỷ"), ("KHOẺ", "KHỎE", "KHOẺ"), ("qúy", "quý", "quý"), ("gía", "giá", "giá"), ("tòan", "toàn", "toàn"),
+    ("cuả", "của", "của"), ("miá", "mía", "mía"), ("hòai", "hoài", "hoài"), ("khủyu", "khuỷu", "khuỷu"), ("qủa", "quả", "quả"),
+    ("gíêng", "giếng", "giếng"), ("gìn", "gìn", "gìn"), ("thưở", "thưở", "thưở"), ("cưủ", "cửu", "cửu"), ("Đừơng", "Đường", "Đường"),
+    ("nhà", "nhà", "nhà"), ("ăn", "ăn", "ăn"), ("mưà", "mừa", "mừa"), ("húênh", "huếnh", "huếnh"), ("tuýêt", "tuyết", "tuyết"),
+]
+
+
+def _syllables_sql(form: int) -> str:
+    return "[" + ", ".join(f"'{s[form]}'" for s in _SYLLABLES) + f"][p_partkey % {len(_SYLLABLES)} + 1]"
+
+
+@query(f"""SELECT p_partkey, p_name || ' ' || {_syllables_sql(1)} || ', ' || {_syllables_sql(1)} || '. ' || p_type AS old_spelling,
+p_name || ' ' || {_syllables_sql(2)} || ', ' || {_syllables_sql(2)} || '. ' || p_type AS new_spelling FROM part""")
+def tone_marks(spark, sf):
+    """Part names with mistyped syllables between their words."""
+    typed = F.get(F.array(*[F.lit(s[0]) for s in _SYLLABLES]), (F.col("p_partkey") % len(_SYLLABLES)).cast("int"))
+    whole = F.concat("p_name", F.lit(" "), typed, F.lit(", "), typed, F.lit(". "), "p_type")
+    rows = table(spark, sf, "part").select("p_partkey", whole.alias("t"))
+    return rows.select("p_partkey", text.tone_marks(F.col("t")).alias("old_spelling"), text.tone_marks(F.col("t"), True).alias("new_spelling"))
+
+
 @query(r"""SELECT doc_id, w AS word, regexp_matches(w, '^[a-zA-Z0-9._%+-]+@[a-zA-Z0-9.-]+\.[a-zA-Z]{2,}$') AS valid
 FROM (SELECT doc_id, unnest(regexp_split_to_array(text, '\s+')) AS w FROM documents) WHERE contains(w, '@')""")
 def email_valid(spark, sf):

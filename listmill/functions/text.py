@@ -174,3 +174,53 @@ def joined_lines(lines: Column) -> Column:
 def tokens(text: Column) -> Column:
     """Lower-cased words of a text, empty ones left out."""
     return F.filter(F.split(F.lower(text), r"[^\p{L}\p{N}]+"), lambda t: t != "")
+
+
+# ---------------------------------------------------------------- tone marks
+
+# Vowels without tone, plain and with a mark of their own, and the combining tone marks.
+_PLAIN_VOWELS, _MARKED_VOWELS, _TONES = "aeiouy", "ăâêôơư", "\u0300\u0301\u0303\u0309\u0323"
+_PLAIN, _MARKED = _PLAIN_VOWELS + _PLAIN_VOWELS.upper(), _MARKED_VOWELS + _MARKED_VOWELS.upper()
+# While a text is worked on, tones and gliding vowels are characters of the private use area.
+_TONE, _GLIDES = "\ue000-\ue004", {"u": "\ue010", "U": "\ue011", "i": "\ue012", "I": "\ue013"}
+
+
+def _toned() -> dict[str, str]:
+    """Every vowel with a tone, and the vowel and the stand-in for the tone."""
+    return {
+        unicodedata.normalize("NFC", v + t): v + chr(0xE000 + n) for v in _PLAIN + _MARKED for n, t in enumerate(_TONES)
+    }
+
+
+def _mapped(text: Column, unit: str, table: dict[str, str]) -> Column:
+    """Each unit of a text by a table, others as they are."""
+    known = F.create_map(*[F.lit(x) for pair in table.items() for x in pair])
+    units = F.regexp_extract_all(text, F.lit(unit), F.lit(0))
+    return F.array_join(F.transform(units, lambda u: F.coalesce(known[u], u)), "")
+
+
+def tone_marks(text: Column, new_spelling: bool = False) -> Column:
+    """Vietnamese syllables with their tone mark on the right vowel; the text should be composed (NFC).
+
+    The mark is taken off its vowel, moved behind the vowels, and put back: on the last vowel that has a mark of its own, else on
+    the middle of three vowels, else on the second of two before a consonant and on the first of two at the end. In the new
+    spelling an ending oa, oe or uy has it on the second. The u of qu and the i of gi before a vowel are no vowels.
+
+    Only whole runs of letters that are consonants, vowels and consonants with one tone are touched. A text without tones
+    is handed back as it is.
+    """
+    vowel, consonant = f"[{_PLAIN}{_MARKED}]", rf"[\p{{L}}&&[^{_PLAIN}{_MARKED}]]"
+    letter = rf"[\p{{L}}{_TONE}]"
+    out = _mapped(text, "(?s).", _toned())
+    out = F.regexp_replace(out, f"(?<!{letter})({consonant}*)({vowel}*)([{_TONE}])({vowel}*)({consonant}*)(?!{letter})", "$1$2$4$3$5")
+    for glide, stand_in in _GLIDES.items():
+        before = "[qQ]" if glide in "uU" else "[gG]"
+        out = F.regexp_replace(out, f"(?<={before}){glide}(?={vowel})", stand_in)
+    out = F.regexp_replace(out, f"([{_MARKED}])([{_PLAIN}]+)([{_TONE}])", "$1$3$2")
+    out = F.regexp_replace(out, f"([{_PLAIN}]{{2}})([{_PLAIN}])([{_TONE}])", "$1$3$2")
+    kept = "(?!(?i:oa|oe|uy))" if new_spelling else ""
+    out = F.regexp_replace(out, rf"(?<!{vowel}){kept}([{_PLAIN}])([{_PLAIN}])([{_TONE}])(?!\p{{L}})", "$1$3$2")
+    for glide, stand_in in _GLIDES.items():
+        out = F.replace(out, F.lit(stand_in), F.lit(glide))
+    back = _mapped(out, f"(?s).[{_TONE}]?", {v: k for k, v in _toned().items()})
+    return F.when(text.rlike("[" + "".join(_toned()) + "]"), back).otherwise(text)
