@@ -86,38 +86,43 @@ def is_slot(token: Column) -> Column:
     return token.isin("0name", "0num", "0unit")
 
 
-def window_hashes(df: DataFrame, width: int, words: str = "words", name: str = "hashes") -> DataFrame:
+def window_hashes(df: DataFrame, width: int | list[int], words: str = "words", name: str = "hashes") -> DataFrame:
     """``df`` with the hashes of all windows of ``width`` tokens as an array; empty if there are fewer tokens.
 
-    Windows of 1, 2, 4, ... tokens are columns of their own, so that each is computed once; the width is put together from them.
+    Windows of 1, 2, 4, ... tokens are columns of their own, so that each is computed once; the widths are put together from them.
+    With several widths the columns are called by name and width.
     """
 
     def joined(a: str, b: str, shift: int) -> Column:
         return F.zip_with(a, F.slice(b, shift + 1, F.greatest(F.size(b) - shift, F.lit(0))), lambda x, y: F.xxhash64(x, y))
 
-    df = df.withColumn("_w1", F.transform(words, lambda w: F.xxhash64(w)))
-    total, have, done = None, 0, 1
-    while True:
-        if width & done:
-            df = df.withColumn(f"_t{done}", F.col(f"_w{done}") if total is None else joined(total, f"_w{done}", have))
-            total, have = f"_t{done}", have + done
-        if done * 2 > width:
-            break
+    widths = [width] if isinstance(width, int) else width
+    df, done = df.withColumn("_w1", F.transform(words, lambda w: F.xxhash64(w))), 1
+    while done * 2 <= max(widths):
         df = df.withColumn(f"_w{done * 2}", joined(f"_w{done}", f"_w{done}", done))
         done *= 2
-    cut = F.slice(total, 1, F.greatest(F.size(words) - (width - 1), F.lit(0)))
-    steps = [c for c in df.columns if c.startswith(("_w", "_t"))]
-    return df.withColumn(name, cut).drop(*steps)
-
-
-def forms(df: DataFrame, key: str, text: str, every: bool, literal: Column | None = None) -> DataFrame:
+    for n in widths:
+        total, have, power = None, 0, 1
+        while power <= n:
+            if n & power:
+                column = f"_t{n}_{power}"
+                df = df.withColumn(column, F.col(f"_w{power}") if total is None else joined(total, f"_w{power}", have))
+                total, have = column, have + power
+            power *= 2
+        cut = F.slice(total, 1, F.greatest(F.size(words) - (n - 1), F.lit(0)))
+        df = df.withColumn(name if isinstance(width, int) else f"{name}{n}", cut)
+    return df.drop(*(c for c in df.columns if c.startswith(("_w", "_t"))))
+
+
+def forms(df: DataFrame, key: str, text: str, every: bool, literal: Column | None = None, sought=tuple(NAME)) -> DataFrame:
     """id, part (a hash of the text), form, values (tokens), words (template).
 
-    A text has the forms with names where it has such names, or always with ``every``, and the literal one where ``literal`` holds.
+    A text has the forms of ``sought`` where it has such names, or all with ``every``, and the literal one where ``literal`` holds.
     """
     rows = df.filter(F.col(key).isNotNull() & F.col(text).isNotNull()).select(F.col(key).alias("id"), F.col(text).alias("text"))
     rows = rows.withColumns({"part": F.xxhash64("text"), "digits": F.col("text").rlike("[0-9]")})
-    has = [F.lit(True), *(F.lit(True) if every else F.col("text").rlike(p) for p in NAME.values()), F.lit(True) if every else literal]
+    named = [F.lit(True) if every else F.col("text").rlike(p) if n in sought else None for n, p in NAME.items()]
+    has = [F.lit(True), *named, F.lit(True) if every else literal]
     taken = F.array_compact(F.array(*(F.when(h, n) for n, h in enumerate(has) if h is not None)))
     rows = rows.withColumn("form", F.explode_outer(taken))
     rows = rows.select("id", "part", "form", "digits", tokens(F.col("text"), F.col("form")).alias("values"))
@@ -148,6 +153,8 @@ def benchmark_windows(benchmark: DataFrame, key: str, text: str) -> tuple[DataFr
     rows = rows.filter(F.col("width") > 0)
     label = _labels(F.col("words"), F.col("values"))
     pattern = F.transform(label, lambda x: F.when(is_slot(F.split_part(x, F.lit(":"), F.lit(1))), F.array_position(label, x)).otherwise(F.lit(0)))
+    # without a name a form with names is the plain form again
+    rows = rows.filter(~F.col("form").isin(*NAME) | F.array_contains("words", "0name"))
     grouped = rows.withColumn("pattern", pattern).groupBy("form", "width", "words", "pattern")
     # items of one template are many, but the benchmark is a stated set
     grouped = grouped.agg(F.min(F.struct("id", "values")).alias("s"), F.collect_set("id").alias("ids"))
@@ -200,14 +207,15 @@ def _met(docs: DataFrame, windows: DataFrame, key: str, text: str, literal: Colu
     for r in windows.select("width", "form").distinct().collect():  # a few widths and four forms
         shapes.setdefault(r["width"], []).append(r["form"])
     few = windows.count() <= BROADCAST_WINDOWS
-    rows = forms(docs, key, text, every=False, literal=literal).select("id", "part", "form", "words", F.size("words").alias("size"))
+    sought = {f for found in shapes.values() for f in found}
+    rows = forms(docs, key, text, every=False, literal=literal, sought=sought).select("id", "part", "form", "words", F.size("words").alias("size"))
 
     def placed(width: int) -> Column:
         found = F.transform(f"_h{width}", lambda h, i: F.struct(F.lit(width).alias("width"), h.alias("hash"), i.cast("int").alias("at")))
         return F.when(F.col("form").isin(*shapes[width]), found)
 
-    for width in shapes:
-        rows = window_hashes(rows, width, name=f"_h{width}")
+    if shapes:
+        rows = window_hashes(rows, sorted(shapes), name="_h")
     # outer, so that no filter inferred from the join computes the windows anew
     every = F.flatten(F.array_compact(F.array(*(placed(w) for w in shapes)))) if shapes else F.array()
     if not shapes:
@@ -313,7 +321,7 @@ SQL = rf"""WITH {_sql_forms("b", "benchmark", "item_id", "true")},
 labelled AS (SELECT *, {_SIZED_SQL} AS width, list_transform(range(1, len(w) + 1), lambda i: w[i] || ':' || rtrim(v[i], '.,')) AS lab FROM b_words),
 reps AS MATERIALIZED (SELECT *, row_number() OVER () AS rep FROM (SELECT form, width, w, arg_min(v, id) AS v, list(DISTINCT id) AS ids
   FROM (SELECT *, list_transform(range(1, len(w) + 1), lambda i: CASE WHEN w[i] IN {_SLOTS_SQL} AND form <> {LITERAL} THEN list_position(lab, lab[i]) ELSE 0 END)
-    AS pattern FROM labelled WHERE width > 0) GROUP BY form, width, w, pattern)),
+    AS pattern FROM labelled WHERE width > 0 AND (form IN ({PLAIN}, {LITERAL}) OR list_contains(w, '0name'))) GROUP BY form, width, w, pattern)),
 places AS (SELECT rep, form, width, s.* FROM (SELECT rep, form, width, unnest(list_transform(range(1, len(w) - width + 2),
   lambda p: {{'place': p, 'x': w[p:p + width - 1], 'v': v[p:p + width - 1]}})) AS s FROM reps)),
 slots AS MATERIALIZED (SELECT *, CASE WHEN form = {LITERAL} THEN 0 ELSE len(list_filter(x, lambda t: t IN {_SLOTS_SQL})) END AS slots FROM places),
