@@ -14,7 +14,7 @@ from listmill.plans import jobs
 from listmill.schema import LISTING_MESSAGE
 from listmill.session import fresh_dir
 from listmill.sources import files, messages, tables
-from listmill.streaming import flows, neardup
+from listmill.streaming import aggregates, flows, neardup
 
 MESSAGE_FIELDS = [f.name for f in LISTING_MESSAGE.fields]
 _EVENTS = "event_id long, ts timestamp_ntz, user_id long, event_type string, value double, props string"
@@ -251,3 +251,41 @@ def stream_near_dup(spark, sf):
     decided = neardup.decisions(stream, "doc_id", "text", "moment", "10 seconds", **_NEAR)
     neardup.write_unique(decided, out, fresh_dir(spark, "near-checkpoint"), once=True).awaitTermination()
     return spark.read.parquet(out).select(F.col("id").cast("long").alias("doc_id"), "kept")
+
+
+# Averages are shown a little off the middle between two roundings.
+# All listings, then the urgent ones dearer beside versions that come too late, then some that have moved to another district.
+_UPSERTED_SQL = f"""{LISTINGS_SQL}, last AS (SELECT category AS "table", estate_type, province, CASE WHEN ward = '2-HIGH' THEN 'NATION_1' ELSE district END AS district,
+  post_date, CASE WHEN ward = '1-URGENT' THEN price * 2 ELSE price END AS price, price_per_m2, square, CASE WHEN contains(estate_type, 'thuê') THEN 'rent' ELSE 'buy' END AS kind
+  FROM listings)"""
+
+
+def _upserts(spark, sf):
+    folder = fresh_dir(spark, "upserts")
+    rows = listings(spark, sf).withColumnRenamed("category", "table").select(
+        "id", "table", "estate_type", "province", "district", "post_date", "price", "price_per_m2", "square", "ward"
+    )
+    stamped = lambda df, day: df.withColumn("created_at", F.lit(f"2024/01/{day} 00:00:00"))
+    dearer = rows.where("ward = '1-URGENT'").withColumn("price", F.col("price") * 2)
+    late = rows.where("ward <> '1-URGENT'").withColumns({"price": F.lit(1.0), "district": F.lit("NATION_9")})
+    moved = rows.where("ward = '2-HIGH'").withColumn("district", F.lit("NATION_1"))
+    for part in (stamped(rows, "02"), stamped(dearer, "03").unionByName(stamped(late, "01")), stamped(moved, "04")):
+        # files are read in the order they were written
+        part.coalesce(1).write.mode("append").parquet(folder)
+    return messages.file_stream(spark, folder, stamped(rows, "02").schema, "parquet", max_files=1)
+
+
+@query(f"""WITH {_UPSERTED_SQL} SELECT kind, 'district' AS grain, district AS name, round(avg(price) + 1e-7, 3) AS avg_price, round(avg(price_per_m2) + 1e-7, 3) AS avg_unit,
+round(avg(square) + 1e-7, 3) AS avg_square FROM last GROUP BY kind, district UNION ALL SELECT kind, 'day', CAST(post_date AS VARCHAR), round(avg(price) + 1e-7, 3),
+round(avg(price_per_m2) + 1e-7, 3), round(avg(square) + 1e-7, 3) FROM last GROUP BY kind, post_date""")
+def stream_market_cells(spark, sf):
+    """District and day averages from the differences that each micro-batch of upserts has left."""
+    served, cells = fresh_dir(spark, "served"), fresh_dir(spark, "cells")
+    aggregates.publish_with_cells(_upserts(spark, sf), served, cells, fresh_dir(spark, "cells-checkpoint"), once=True).awaitTermination()
+    found = aggregates.read_cells(spark, cells)
+    shown = [F.round(F.sum(f"sum_{m}") / F.sum(f"n_{m}") + 1e-7, 3).alias(a) for m, a in (("price", "avg_price"), ("price_per_m2", "avg_unit"), ("square", "avg_square"))]
+    parts = [
+        found.groupBy("kind", F.lit(grain).alias("grain"), F.col(column).cast("string").alias("name")).agg(*shown)
+        for grain, column in (("district", "district"), ("day", "post_date"))
+    ]
+    return parts[0].union(parts[1])

@@ -13,14 +13,14 @@ from listmill.session import fresh_dir
 ARRIVAL = ("kafka_timestamp", "kafka_offset", "kafka_partition")
 
 
-def _newest(df: DataFrame, version: str = "created_at") -> list:
+def newest_first(df: DataFrame, version: str = "created_at") -> list:
     """Order in which the last version of a key comes first; versions of one stamp go by their arrival."""
     return [F.col(c).desc_nulls_last() for c in (version, *ARRIVAL) if c in df.columns]
 
 
 def write_by_category(df: DataFrame, path: str, key: str = "id", table: str = "table", version: str = "created_at") -> None:
     """Keyed batch write: the last version per key, replacing only the tables present in ``df``."""
-    rows = first_per_key(df, [table, key], *_newest(df, version))
+    rows = first_per_key(df, [table, key], *newest_first(df, version))
     (
         rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(table).parquet(path)
     )
@@ -32,7 +32,7 @@ def write_typed(df: DataFrame, path: str, partition_by: list[str] | None = None,
     With ``key`` the last version of each key is the document; rows without a key are documents of their own.
     """
     if key:
-        last = first_per_key(df.where(F.col(key).isNotNull()), [key], *_newest(df))
+        last = first_per_key(df.where(F.col(key).isNotNull()), [key], *newest_first(df))
         df = last.unionByName(df.where(F.col(key).isNull()))
     writer = typed(df).write.mode("overwrite")
     if partition_by:
@@ -52,7 +52,7 @@ def append_versions(df: DataFrame, path: str, key: str, batch: int) -> None:
     Nothing already written is read or moved, so the cost of an upsert is the size of the batch. Readers take the
     newest version per key (:func:`read_latest`); :func:`compact` folds the folders from time to time.
     """
-    rows = first_per_key(df, ["table", key], *_newest(df))
+    rows = first_per_key(df, ["table", key], *newest_first(df))
     write_batch(rows, path, batch, "table")
 
 
