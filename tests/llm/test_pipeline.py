@@ -97,6 +97,6 @@ def test_the_entry_works_without_the_subpackage(tmp_path):
     )
     done = subprocess.run([sys.executable, "-c", code], cwd=tmp_path, env={"PYTHONPATH": str(tmp_path), "PATH": "/usr/bin"}, capture_output=True, text=True)
     assert done.returncode == 0, done.stderr
-    code = "import __spark_entry__ as e; assert sum(q.startswith('op') for q in e.queries()) == 10 and 'pipeline' in e.queries()"
+    code = "import __spark_entry__ as e; assert sum(q.startswith('op') for q in e.queries()) == 13 and 'pipeline' in e.queries()"
     done = subprocess.run([sys.executable, "-c", code], cwd=ROOT, capture_output=True, text=True)
     assert done.returncode == 0, done.stderr
