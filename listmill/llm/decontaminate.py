@@ -38,6 +38,8 @@ STRETCH = 64
 PLAIN, INSIDE, CAPITAL, LITERAL = range(4)
 # Windows of the benchmark that are sent to every task at most, 40 bytes each; more are shuffled.
 BROADCAST_WINDOWS = 500_000
+# Windows with slots, with the item's tokens, that are sent to every task at most; more are shuffled beside the texts they are in.
+BROADCAST_SLOTS = 100_000
 
 # Words that are units when they follow a number.
 UNITS = (
@@ -126,9 +128,11 @@ def forms(df: DataFrame, key: str, text: str, every: bool, literal: Column | Non
     taken = F.array_compact(F.array(*(F.when(h, n) for n, h in enumerate(has) if h is not None)))
     rows = rows.withColumn("form", F.explode_outer(taken))
     rows = rows.select("id", "part", "form", "digits", tokens(F.col("text"), F.col("form")).alias("values"))
-    # without digits and names no token is a placeholder
-    marked = F.col("form").isin(*NAME) | (F.col("digits") & (F.col("form") != LITERAL))
-    return rows.withColumn("words", F.when(marked, template(F.col("values"))).otherwise(F.col("values")))
+    # without digits only names are placeholders, without names no token is
+    named = F.transform("values", lambda token: F.when(token.startswith("0name"), "0name").otherwise(token))
+    numbered = F.col("digits") & (F.col("form") != LITERAL)
+    words = F.when(numbered, template(F.col("values"))).when(F.col("form").isin(*NAME), named).otherwise(F.col("values"))
+    return rows.withColumn("words", words)
 
 
 def _width(size: Column, form: Column) -> Column:
@@ -259,8 +263,8 @@ def contaminated(
     slotted = settle(slotted.join(small(windows.select("rep", "place", "width", F.col("values").alias("theirs"), "kinds")), ["rep", "place"]))
     # few ids, counted, are sent to all tasks, so that no text is shuffled
     ids = small(slotted.select("id").distinct().withColumnRenamed("id", key))
-    again = forms(docs.select(key, text).join(ids, key, "left_semi"), key, text, every=False).select("id", "part", "form", "values").distinct()
-    pairs = slotted.join(again, ["id", "part", "form"])
+    again = forms(docs.select(key, text).join(ids, key, "left_semi"), key, text, every=False).select("id", "part", "form", "values")
+    pairs = small(slotted, BROADCAST_SLOTS).join(again, ["id", "part", "form"])
     mine = F.slice("values", F.col("at") + 1, F.col("width"))
     slots = pairs.select(*_ONE, F.explode(F.arrays_zip(mine.alias("mine"), "theirs", "kinds")).alias("s"))
     slots = slots.filter(is_slot(F.col("s.kinds"))).select(
