@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql import Window as W
 
-from listmill.session import settle
+from listmill.session import fresh_dir, settle
 
 LOOK_BACK = 4000
 
@@ -90,6 +90,13 @@ def similar_pairs(
 # ---------------------------------------------------------------- the last kept items
 
 
+def _written(df: DataFrame, name: str) -> DataFrame:
+    """``df`` from files in the shared folder: unlike a checkpoint it carries no constraints on from round to round."""
+    folder = fresh_dir(df.sparkSession, name)
+    df.write.parquet(folder)
+    return df.sparkSession.read.schema(df.schema).parquet(folder)
+
+
 def first_held(count, look_back: int = LOOK_BACK):
     """Number of the oldest kept item still held when ``count`` items were kept.
 
@@ -193,7 +200,7 @@ def keep(
     while True:
         ahead = F.coalesce(F.sum("kept").over(order.rowsBetween(W.unboundedPreceding, -1)), zero)
         mark = F.coalesce(F.lag("mark").over(order), zero)
-        blocks = settle(blocks.withColumns({"kept_before": ahead, "mark_before": mark}))
+        blocks = _written(blocks.withColumns({"kept_before": ahead, "mark_before": mark}), "blocks")
         changed = blocks.where("kept_before <> had_before OR mark_before <> had_mark").select("block", "kept_before")
         if changed.isEmpty():
             break
@@ -204,7 +211,7 @@ def keep(
             "behind", "pos", "title", "vec", (F.col("kept_before") - 1 - F.col("back")).alias("number")
         )
         again = rows.drop("source", "own").join(changed, "block").groupBy("block").cogroup(tails.groupBy("behind")).applyInArrow(decide, shape)
-        decided = settle(decided.join(changed.select("block"), "block", "left_anti").select(again.columns).union(again))
+        decided = _written(decided.join(changed.select("block"), "block", "left_anti").select(again.columns).union(again), "decided")
         told = decided.join(changed, "block").groupBy("block").agg(
             F.count_if(F.col("number") >= F.col("kept_before")).alias("now"),
             F.coalesce(F.bit_xor(F.when(F.col("tail"), F.xxhash64("pos"))), zero).alias("now_mark"),
