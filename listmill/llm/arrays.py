@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 # Bytes of text that a worker turns into numpy arrays at once; one longer text makes a piece of its own.
-PIECE_BYTES = 1 << 20
+PIECE_BYTES = 1 << 18
 # Rows in an Arrow batch; texts of a megabyte each still fit a worker then.
 BATCH_ROWS = 512
 

@@ -23,7 +23,7 @@ from listmill.llm.arrays import bytes_of, differing, distinct_slices, expand, pi
 from listmill.llm.pretokens import Merges, merge, split
 
 # Distinct pre-tokens a worker remembers, and their bytes; beyond that it starts afresh. Only speed depends on it.
-CACHE_ENTRIES, CACHE_BYTES = 400_000, 32 << 20
+CACHE_ENTRIES, CACHE_BYTES = 200_000, 8 << 20
 # A vocabulary is sent to every worker; a larger file than this is refused.
 VOCABULARY_BYTES = 64 << 20
 
