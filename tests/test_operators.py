@@ -4,6 +4,7 @@ import datetime as dt
 import random
 
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -157,6 +158,32 @@ def test_near_duplicates_listing_equals_greedy(spark):
     assert {r.id for r in decided if r.kept_as == r.id} == greedy(items, alike)
 
 
+def test_sketches_bound_the_similarity_and_rule_out_unlike_rows():
+    rng = np.random.default_rng(5)
+    for n in (1, 40, 700):
+        common, own, other = (rng.integers(-(2**62), 2**62, n) for _ in range(3))
+        for a, b in ((common, common), (np.r_[common, own], common), (own, other), (np.r_[common[: n // 2], own], np.r_[common[: n // 2], other])):
+            x, y = similar.parities.func(pd.Series([a, b]))
+            apart = similar.least_apart.func(pd.Series([x]), pd.Series([y]))[0]
+            assert apart <= len(np.setxor1d(a, b))
+            v, w = (rng.random(len(t)) + 0.1 for t in (a, b))
+            v, w = v / np.sqrt(v @ v), w / np.sqrt(w @ w)
+            weights = dict(zip(b.tolist(), w))
+            cosine = sum(p * weights.get(t, 0.0) for t, p in zip(a.tolist(), v))
+            most = similar.most_cosine.func(pd.Series([similar._norms(a, v)]), pd.Series([similar._norms(b, w)]))[0]
+            assert most >= cosine
+            if n == 700 and a is own:
+                # unlike rows need no look at their contents
+                assert apart > (1 - 0.7) / (1 + 0.7) * 2 * n and most < 0.95
+
+
+def test_buckets_that_decide_nothing_go(spark):
+    rows = [(1, "a", 10, 3, 3), (2, "a", 10, 3, 3), (3, "b", 10, 3, 3), (4, "c", 10, 3, 4), (5, "c", 10, 3, 4), (6, "d", 10, 3, 4), (7, "d", 14, 4, 4)]
+    buckets = spark.createDataFrame(rows, "id long, bucket string, size int, own int, class int")
+    assert {r.id for r in similar._shared(buckets, True).collect()} == {1, 2, 6, 7}
+    assert {r.id for r in similar._shared(buckets, False).collect()} == {1, 2, 4, 5, 6, 7}
+
+
 def test_minhash_finds_most_and_only_true_pairs(spark):
     rows = texts(7, 6, 12)
     df = spark.createDataFrame(rows, "id long, t string")
