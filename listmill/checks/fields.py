@@ -7,6 +7,7 @@ from listmill.checks.registry import query
 from listmill.checks.views import RAW_SQL, case, raw_listings, table
 from listmill.functions import extras, fields, jsontext, text
 from listmill.operators import market
+from listmill.session import balanced
 
 SPACE = r"\s\x0b\x1c-\x1f\x{85}\p{Z}"
 SPECIAL = rf"[^\p{{L}}\p{{N}}[:punct:]{SPACE}]"
@@ -216,7 +217,7 @@ def tone_marks(spark, sf):
     """Part names with mistyped syllables between their words."""
     typed = F.get(F.array(*[F.lit(s[0]) for s in _SYLLABLES]), (F.col("p_partkey") % len(_SYLLABLES)).cast("int"))
     whole = F.concat("p_name", F.lit(" "), typed, F.lit(", "), typed, F.lit(". "), "p_type")
-    rows = table(spark, sf, "part").select("p_partkey", whole.alias("t"))
+    rows = balanced(table(spark, sf, "part")).select("p_partkey", whole.alias("t"))
     return rows.select("p_partkey", text.tone_marks(F.col("t")).alias("old_spelling"), text.tone_marks(F.col("t"), True).alias("new_spelling"))
 
 

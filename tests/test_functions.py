@@ -179,3 +179,12 @@ def test_tone_marks(spark):
     expected = {k: b for k, (_, b) in enumerate(rows)}
     expected[6] = found[6]  # a digit ends the run of letters; the syllable before it is mended
     assert found == expected and found[6] == unicodedata.normalize("NFC", "tuổi2")
+
+
+def test_tone_marks_looks_up_runs(spark):
+    from listmill.functions import text as t
+
+    df = spark.createDataFrame([("a long plain name, hoà nhà",), ("ho\ue001\ue001 a\ue000b",)], "s string")
+    units = lambda pattern: [r.u for r in df.select(F.regexp_extract_all("s", F.lit(pattern), F.lit(0)).alias("u")).collect()]
+    assert units(t._UNITS)[0] == ["a long plain name, ho", "à", " nh", "à"]
+    assert units(t._TONED_UNITS) == [["a long plain name, hoà nhà"], ["h", "o\ue001", "\ue001", " ", "a\ue000", "b"]]
