@@ -113,3 +113,21 @@ def test_a_batch_repeated_on_another_day_replaces_its_folder(spark):
         dated = with_ingest_date(rows, F.lit(day).cast("timestamp"))
         tables.write_batch(dated, lake, 0, "topic", "year", "month", "day")
     assert sorted((r.day, r["count"]) for r in spark.read.parquet(lake).groupBy("day").count().collect()) == [(2, 40)]
+
+
+def test_written_input_has_more_files_where_there_are_more_rows(spark, tmp_path):
+    from listmill.checks import streams
+
+    spark.range(120_001).write.parquet(str(tmp_path / "orders.parquet"))
+    assert streams._files(spark, str(tmp_path), 1) == 3 and streams._files(spark, str(tmp_path), 8) == 8
+
+
+def test_upserts_are_written_by_many_tasks(spark, monkeypatch):
+    from listmill.checks import streams
+
+    names = "id long, category string, estate_type string, province string, district string, post_date date, price double, price_per_m2 double, square double, ward string"
+    rows = [(i, "c", "e", "p", "d", None, 1.0, 1.0, 1.0, ("1-URGENT", "2-HIGH", "x")[i % 3]) for i in range(12)]
+    monkeypatch.setattr(streams, "listings", lambda spark, sf: spark.createDataFrame(rows, names).repartition(5))
+    parts = streams._upserts(spark, "")
+    assert [p.count() for p in parts] == [12, 12, 4]
+    assert parts[0].rdd.getNumPartitions() == 5 and parts[1].rdd.getNumPartitions() == 10
