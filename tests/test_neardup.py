@@ -3,6 +3,7 @@
 import datetime as dt
 import random
 
+import pandas as pd
 from pyspark.sql import functions as F
 
 from listmill.session import fresh_dir
@@ -68,3 +69,39 @@ def test_values_are_compared_whole(spark):
     assert signed["1"] == signed["2"] and len(signed["1"]) == 128 and signed["3"] is None
     assert sorted(r.band for r in found if r.id in "34") == ["none:3", "none:4"]
     assert (neardup._values([signed["1"]]) == neardup._values([signed["2"]])).all()
+
+
+class Held(dict):
+    """A map state that counts what is looked up."""
+
+    looked = 0
+
+    def exists(self):
+        return bool(self)
+
+    def getValue(self, key):
+        self.looked += 1
+        return self.get(key)
+
+    def updateValue(self, key, value):
+        self[key] = value
+
+
+def test_one_call_decides_the_bands_of_a_bucket():
+    timers = []
+    handle = type("Handle", (), {"listTimers": lambda self: iter(timers), "registerTimer": lambda self, at: timers.append(at)})()
+    suppressor = neardup.Suppressor(13, 5, 100)
+    suppressor.handle, suppressor.kept = handle, Held()
+    at = lambda s: pd.Timestamp(2024, 1, 1) + pd.Timedelta(seconds=s)
+
+    def decide(*rows):
+        data = pd.DataFrame([(i, at(s), sig and sig * 128, b) for i, s, sig, b in rows], columns=["id", "moment", "signature", "band"])
+        (out,) = suppressor.handleInputRows((0,), iter([data]), None)
+        return {(r.id, r.band): bool(r.suppressed) for r in out.itertuples()}
+
+    found = decide(("1", 0, "a", "x"), ("2", 1, "b", "y"), ("3", 2, "a", "y"), ("4", 3, "a", "x"), ("5", 4, None, "none:5"))
+    assert found == {("1", "x"): False, ("2", "y"): False, ("3", "y"): False, ("4", "x"): True, ("5", "none:5"): False}
+    # bands that did not come are not looked up, and the bucket has one timer
+    assert set(suppressor.kept) == {("x",), ("y",)} and suppressor.kept.looked == 0 and len(timers) == 1
+    assert decide(("6", 5, "b", "y"), ("7", 200, "b", "y")) == {("6", "y"): True, ("7", "y"): False}
+    assert suppressor.kept.looked == 1 and len(timers) == 1
