@@ -38,8 +38,8 @@ STRETCH = 64
 PLAIN, INSIDE, CAPITAL, LITERAL = range(4)
 # Windows of the benchmark that are sent to every task at most, 40 bytes each; more are shuffled.
 BROADCAST_WINDOWS = 500_000
-# Windows with slots, with the item's tokens, that are sent to every task at most; more are shuffled beside the texts they are in.
-BROADCAST_SLOTS = 100_000
+# Bytes of the places of slots in documents that are sent to every task at most; more are shuffled beside the texts they are in.
+BROADCAST_SPOTS = 16 << 20
 
 # Words that are units when they follow a number.
 UNITS = (
@@ -260,17 +260,21 @@ def contaminated(
 
     # the values of the slots, only for documents that meet a template in a window with slots
     slotted = joined.filter("slots > 0").select(*_ONE, "place", "at").join(held.filter("slots > 0").select(*_ONE), _ONE, "left_semi")
-    slotted = settle(slotted.join(small(windows.select("rep", "place", "width", F.col("values").alias("theirs"), "kinds")), ["rep", "place"]))
+    label = lambda kind, value: F.concat_ws(":", kind, F.rtrim(value, F.lit(".,")))
+    asked = F.zip_with("kinds", "values", lambda k, v: F.struct(is_slot(k).alias("slot"), label(k, v).alias("theirs")))
+    asked = F.transform(asked, lambda x, i: F.struct(i.alias("ahead"), x["slot"].alias("slot"), x["theirs"].alias("theirs")))
+    asked = windows.filter("slots > 0").select("rep", "place", F.filter(asked, lambda x: x["slot"]).alias("asked"))
+    slots = slotted.join(small(asked), ["rep", "place"]).select(*_ONE, "at", F.inline("asked"))
+    # windows overlap, and so do alignments: each slot of a document once, and each place in a text once for all of its slots
+    slots = settle(slots.select(*_ONE, (F.col("at") + F.col("ahead")).cast("int").alias("spot"), "theirs").distinct())
+    spots = settle(slots.groupBy("id", "part", "form").agg(F.collect_set("spot").alias("spots")))
     # few ids, counted, are sent to all tasks, so that no text is shuffled
-    ids = small(slotted.select("id").distinct().withColumnRenamed("id", key))
+    ids = small(spots.select("id").distinct().withColumnRenamed("id", key))
     again = forms(docs.select(key, text).join(ids, key, "left_semi"), key, text, every=False).select("id", "part", "form", "values")
-    pairs = small(slotted, BROADCAST_SLOTS).join(again, ["id", "part", "form"])
-    mine = F.slice("values", F.col("at") + 1, F.col("width"))
-    slots = pairs.select(*_ONE, F.explode(F.arrays_zip(mine.alias("mine"), "theirs", "kinds")).alias("s"))
-    slots = slots.filter(is_slot(F.col("s.kinds"))).select(
-        *_ONE, F.concat_ws(":", "s.kinds", F.rtrim(F.col("s.theirs"), F.lit(".,"))).alias("theirs"),
-        F.rtrim(F.col("s.mine"), F.lit(".,")).alias("mine"),
-    )
+    few = (spots.agg(F.sum(F.size("spots") * 4 + 64)).first()[0] or 0) <= BROADCAST_SPOTS
+    seen = again.join(F.broadcast(spots) if few else spots, ["id", "part", "form"])
+    mine = F.transform("spots", lambda at: F.struct(at.alias("spot"), F.rtrim(F.get("values", at), F.lit(".,")).alias("mine")))
+    slots = slots.join(seen.select("id", "part", "form", F.inline(mine)), ["id", "part", "form", "spot"])
     # more than one value behind one value of the item
     split = slots.groupBy(*_ONE, "theirs").agg((F.min("mine") != F.max("mine")).alias("split"))
     split = split.groupBy(*_ONE).agg(F.max("split").alias("split"))

@@ -89,6 +89,13 @@ def test_a_shuffled_join_gives_the_same(documents, benchmark, held, monkeypatch)
     assert sorted(tuple(r) for r in decontaminate.contaminated(documents(DOCS), benchmark).collect()) == few
 
 
+def test_places_of_slots_shuffled_beside_the_texts_give_the_same(documents, benchmark, held, monkeypatch):
+    # with copies of documents and items, whose windows and alignments overlap
+    few = {tuple(r) for r in held}
+    monkeypatch.setattr(decontaminate, "BROADCAST_SPOTS", 0)
+    assert {tuple(r) for r in decontaminate.contaminated(documents([*DOCS, *DOCS]), benchmark.union(benchmark)).collect()} == few
+
+
 def test_clean_documents_keep_all_columns(documents, benchmark):
     df = documents(DOCS)
     kept = decontaminate.clean(df, benchmark)
