@@ -38,7 +38,8 @@ def exact_quantiles(
     ``accuracy`` rows. The counted rank is compared with the bracket; a sketch that missed it stops the job instead of
     giving a wrong value.
     """
-    rows = df.select(F.col(group).alias("g"), F.col(value).cast("double").alias("v")).where(F.col("v").isNotNull())
+    # read twice from here on: two columns are settled, rather than all that leads to them computed twice
+    rows = settle(df.select(F.col(group).alias("g"), F.col(value).cast("double").alias("v")).where(F.col("v").isNotNull()))
     margin = 4.0 / accuracy
     wanted = [min(1.0, max(0.0, p + d)) for p in probabilities for d in (-margin, margin)]
     sketch = settle(

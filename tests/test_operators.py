@@ -14,6 +14,20 @@ from listmill.operators import (
 from listmill.schema import REQUEST
 
 
+def test_exact_quantiles_compute_their_rows_once(spark):
+    seen = spark.sparkContext.accumulator(0)
+
+    def prices(batches):
+        for batch in batches:
+            seen.add(len(batch))
+            yield pd.DataFrame({"g": (batch["id"] % 3).astype(str), "v": (batch["id"] % 100).astype(float)})
+
+    rows = spark.range(1000).mapInPandas(prices, "g string, v double")
+    got = {r.g: r.q0 for r in outliers.exact_quantiles(rows, "g", "v", [0.5]).collect()}
+    assert seen.value == 1000
+    assert got == {str(g): float(np.quantile([k % 100 for k in range(g, 1000, 3)], 0.5)) for g in range(3)}
+
+
 @pytest.mark.parametrize("accuracy", [10_000, 200])
 def test_exact_quantiles_equal_numpy(spark, accuracy):
     rng = random.Random(3)
