@@ -10,7 +10,7 @@ import pytest
 import tiktoken
 from tokenizers import Tokenizer
 
-from listmill.llm import bpe, counts, pretokens
+from listmill.llm import arrays, bpe, counts, pretokens
 from listmill.llm.arrays import pieces
 from listmill.llm.queries import RANKS, VOCABULARY
 
@@ -174,3 +174,48 @@ def test_long_words_equal_the_library(letters, n, reference):
     own = bpe.codec(bpe.read_file(RANKS))
     assert own.encode(*packed([text]))[0].tolist() == reference.encode_ordinary(text)
     assert own.encode(*packed(["a b", text, "c d"]))[0].tolist() == [i for t in ("a b", text, "c d") for i in reference.encode_ordinary(t)]
+
+
+def test_merging_looks_up_only_pairs_that_are_new(monkeypatch):
+    """A round of merges used to look up every pair that was left."""
+    # one symbol each round: 0 1 -> 8, 8 2 -> 9, 9 3 -> 10 and so on
+    merges = pretokens.Merges([0, 8, 9, 10, 11], [1, 2, 3, 4, 5], range(5), range(8, 13))
+    words = [[0, 1, 2, 3, 4, 5] + [7] * 40, [5, 5, 0, 1, 2], [7], [0, 1, 0, 1, 2, 0]] * 50
+    looked, look = [], merges.look
+    monkeypatch.setattr(merges, "look", lambda left, right: looked.append(len(left)) or look(left, right))
+    symbols, sizes = pretokens.merge_together(np.concatenate(words).astype(np.int32), np.array([len(w) for w in words]), merges)
+    assert sizes.tolist() == [41, 3, 1, 3] * 50
+    assert symbols.tolist() == [12, *[7] * 40, 5, 5, 9, 7, 8, 9, 0] * 50
+    pairs, merged = sum(len(w) - 1 for w in words), sum(map(len, words)) - len(symbols)
+    assert sum(looked) <= pairs + 2 * merged
+
+
+def test_distinct_and_remembered_slices_tell_equal_hashes_apart(monkeypatch):
+    # few hashes, all with the same leading bits: every slice meets another one in the table
+    monkeypatch.setattr(arrays, "slice_hashes", lambda data, starts, ends: data[starts].astype(np.uint64) % np.uint64(3) + np.uint64(1))
+    letters = [b"a", b"b", b"c", b"d", b"aa", b"a", b"d", b"dd", b"c"] * 4
+    data, ends = np.frombuffer(b"".join(letters), np.uint8), np.cumsum([len(x) for x in letters])
+    starts = ends - [len(x) for x in letters]
+    hashes, first, back = arrays.distinct_slices(data, starts, ends)
+    assert all(letters[first[k]] == x for k, x in zip(back, letters, strict=True))
+    assert [h - 1 for h in hashes.tolist()] == [letters[i][0] % 3 for i in first]
+
+    known = bpe.Remembered()
+    for _ in range(3):
+        known.add(hashes, data, starts[first], ends[first])
+    found = known.look(hashes, data, starts[first], ends[first])
+    assert (found >= 0).any()
+    assert all(n < 0 or letters[first[n % len(first)]] == letters[first[k]] for k, n in enumerate(found))
+
+
+def test_remembered_slices_are_found_when_the_table_grows():
+    known, numbers = bpe.Remembered(), {}
+    for a in range(0, 9_000, 1_500):
+        words = [str(k).encode() for k in range(a, a + 1_500)]
+        ends = np.cumsum([len(w) for w in words])
+        data, starts = np.frombuffer(b"".join(words), np.uint8), ends - [len(w) for w in words]
+        hashes = arrays.slice_hashes(data, starts, ends)
+        assert (known.look(hashes, data, starts, ends) == -1).all()
+        numbers[a] = known.add(hashes, data, starts, ends), hashes, data, starts, ends
+    for added, *asked in numbers.values():
+        assert known.look(*asked).tolist() == added.tolist()
