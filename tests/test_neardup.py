@@ -3,6 +3,7 @@
 import datetime as dt
 import random
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import functions as F
 
@@ -105,3 +106,38 @@ def test_one_call_decides_the_bands_of_a_bucket():
     assert set(suppressor.kept) == {("x",), ("y",)} and suppressor.kept.looked == 0 and len(timers) == 1
     assert decide(("6", 5, "b", "y"), ("7", 200, "b", "y")) == {("6", "y"): True, ("7", "y"): False}
     assert suppressor.kept.looked == 1 and len(timers) == 1
+
+
+def test_no_partner_goes_for_the_length_of_a_list():
+    """A frequent band holds hundreds of unlike texts; a copy of the first is still suppressed, as every pair compared would tell."""
+    r = random.Random(4)
+    rows, moments = [], []
+    for n in range(400):
+        if n % 3 == 2:
+            own = list(rows[r.randrange(len(rows))])
+            for k in r.sample(range(2, 16), r.choice([0, 2, 3, 4])):
+                own[k] = r.randrange(1 << 32)
+        else:
+            own = [7, 7] + [r.randrange(1 << 32) for _ in range(14)]
+        rows.append(tuple(own))
+        moments.append(n * 1_000_000)
+    rows.append(rows[0])
+    moments.append(400 * 1_000_000)
+    signatures = neardup._values(["".join(f"{v:08x}" for v in own) for own in rows])
+    held, decided = np.empty(0, neardup._HELD), []
+    # in three calls, as the list comes back from the state
+    suppressor = neardup.Suppressor(13, None, 1_000)
+    for part in (slice(0, 150), slice(150, 151), slice(151, None)):
+        held, some = suppressor._decide(held, np.array(moments[part], np.int64), signatures[part])
+        decided += some
+    expected, kept = [], []
+    for own in rows:
+        alike = any(sum(a == b for a, b in zip(own, other)) >= 13 for other in kept)
+        expected.append(alike)
+        if not alike:
+            kept.append(own)
+    assert decided == expected and decided[-1] and len(held) == len(kept) > 64
+    # a bound that is asked for still holds
+    few, some = neardup.Suppressor(13, 5, 1_000)._decide(np.empty(0, neardup._HELD), np.array(moments, np.int64), signatures)
+    assert len(few) == 5 and not some[-1]
+
