@@ -250,3 +250,42 @@ def test_words_are_encoded_as_the_library_would_with_a_blank_before_them(monkeyp
         ids, counts, *_ = own.encode(np.frombuffer(b"".join(raw), np.uint8), np.cumsum([0, *map(len, raw)]))
         expected = [[i for w in re.findall("[^ \t\n\x0b\x0c\r]+", t) for i in library.encode_ordinary(" " + w)] for t in text]
         assert counts.tolist() == [len(e) for e in expected] and ids.tolist() == [i for e in expected for i in e]
+
+
+def test_every_id_has_a_class_and_an_embedding_of_its_own(model):
+    assert len(set(model.kind)) == len(set(model.row)) == len(model.kind) == 50_256
+    assert not model.inside.any()
+    # the chances of the end and all ids, beside nothing else, are one
+    h = np.random.default_rng(3).normal(size=lm.WIDTH)
+    told = chances({k: v.astype(np.float64) for k, v in model.w.items()}, h)
+    assert told[[0, *model.kind]].sum() == pytest.approx(1) and told[lm.CLASSES :].sum() == 0
+    # also the context of a rare id tells: texts that differ in their first, rare id only
+    rare = np.flatnonzero(model.w["e"][model.row].any(axis=1))[-2:]
+    one, two = model.score(np.array([rare[0], 5, rare[1], 5]), np.array([2, 2]))
+    ids = [plain_score(model, [int(r), 5]) for r in rare]
+    assert [one, two] == pytest.approx(ids, rel=1e-4)
+    own = [math.log10(np.exp(model.score(np.array([int(r)]), np.array([1]))[0] * math.log(10))) for r in rare]
+    assert one - own[0] != pytest.approx(two - own[1], abs=1e-6)
+
+
+def test_the_gradient_travels_in_parts_that_are_not_zero(monkeypatch):
+    import pyarrow as pa
+
+    monkeypatch.setattr(lm, "GRADIENT_PART", 10)
+    r, tasks = np.random.default_rng(1), []
+    for _ in range(3):
+        total = np.zeros(95)
+        total[r.integers(0, 40, 5)] = r.normal(size=5)
+        total[94] = 1
+        tasks.append(total)
+    rows = [pa.Table.from_batches([*lm._parts_of(np.array([2.0, 3]), t)]).append_column("task", pa.array([n] * len([*lm._parts_of(np.array([2.0, 3]), t)]))) for n, t in enumerate(tasks)]
+    assert all(len(t) <= 6 for t in rows)
+    rows, found = pa.concat_tables(rows), np.zeros(95)
+    for part in set(rows.column("part").to_pylist()):
+        (row,) = lm._added(rows.filter(pa.compute.equal(rows.column("part"), part))).to_pylist()
+        values = np.frombuffer(row["grad"])
+        if part < 0:
+            assert values.tolist() == [6, 9]
+        else:
+            found[part * 10 :][: len(values)] = values
+    assert found == pytest.approx(sum(tasks))
