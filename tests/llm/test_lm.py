@@ -289,3 +289,24 @@ def test_the_gradient_travels_in_parts_that_are_not_zero(monkeypatch):
         else:
             found[part * 10 :][: len(values)] = values
     assert found == pytest.approx(sum(tasks))
+
+
+def test_a_batch_is_worked_on_in_bounded_pieces(model, documents, monkeypatch):
+    r = np.random.default_rng(7)
+    counts = np.array([0, 5_000, 3, 900, *[40] * 300])
+    ids = r.integers(0, 50_256, counts.sum())
+    cut = lm.segments(ids, counts, 50_256)
+    expected = lm.segment_scores(model, cut)
+    monkeypatch.setattr(lm, "UNFOLDED", 2_000)
+    pieces = list(lm.unfolded(cut))
+    assert len(pieces) > 5 and all(p.codes.size <= 2_000 for p in pieces)
+    assert (np.concatenate([p.codes for p in pieces]) == cut.codes).all() and sum(len(p.sizes) for p in pieces) == len(cut.sizes)
+    assert np.concatenate([lm.segment_scores(model, p) for p in pieces]) == pytest.approx(expected)
+    # a segment longer than that is a piece of its own
+    monkeypatch.setattr(lm, "UNFOLDED", 100)
+    assert [len(p.sizes) for p in lm.unfolded(lm.segments(np.arange(900), np.array([900]), 50_256))] == [1]
+    # and the whole operator gives the same in small pieces
+    df = documents([*enumerate(corpus(60))])
+    small = {x["doc_id"]: x["score"] for x in lm.scores(df, RANKS).collect()}
+    monkeypatch.setattr(lm, "UNFOLDED", 1 << 17)
+    assert {x["doc_id"]: x["score"] for x in lm.scores(df, RANKS).collect()} == pytest.approx(small, rel=1e-5)
