@@ -402,3 +402,41 @@ def test_lookback_keep_by_source(spark):
     found = {(row.site, row.p): row.kept for row in lookback.keep(df, "p", "t", "v", look_back=5, block_rows=60, source="site").collect()}
     expected = {(site, p): kept for site in ("x", "y", None) for p, kept in kept_by_list([i[:3] for i in rows if i[3] == site], 5).items()}
     assert found == expected
+
+
+def test_shuffles_behind_a_settled_table_go(spark):
+    from listmill.session import settle
+
+    names = []
+    df = spark.range(1_000).groupBy((F.col("id") % 50).alias("k")).agg(F.count(F.lit(1)).alias("n"))
+    shuffles = lambda: spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().mapOutputTracker().shuffleStatuses().size()
+    before = shuffles()
+    for _ in range(3):
+        names.append(settle(df.join(df.withColumnRenamed("n", "m"), "k")))
+    assert shuffles() <= before
+    # the settled tables and the one behind them can be read as often as wanted
+    assert [t.count() for t in names] == [50] * 3 and df.count() == 50 and settle(df).count() == 50 and df.count() == 50
+    assert spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled", "false") == "false"
+
+
+def test_prefixes_and_vectors_inside_rows_are_those_of_the_joins(spark, monkeypatch):
+    from listmill.operators import similar
+
+    r = random.Random(8)
+    words = [f"w{k}" for k in range(40)] + [f"rare{k}" for k in range(300)]
+    table = [(k, " ".join(r.choices(words, weights=[20] * 40 + [1] * 300, k=r.randrange(0, 40))), r.choice(["a", "b", None])) for k in range(120)]
+    table += [(200 + k, table[k][1] + " more", "a") for k in range(30)] + [(300, None, "a"), (301, "", "b"), (302, "only", None)]
+    df = spark.createDataFrame(table, "id long, t string, title string").repartition(3)
+
+    def answers():
+        exact = {tuple(x) for x in similar.near_duplicates_jaccard(df, "id", "t", 0.7).collect()}
+        listing = {(x.id, x.kept_as, x.score and round(x.score, 9)) for x in similar.near_duplicates_listing(df, "id", "title", "t").collect()}
+        return exact, listing
+
+    inside = answers()
+    used = []
+    for name in ("prefixes_in_rows", "vectors_in_rows"):
+        monkeypatch.setattr(similar, name, lambda *a, n=name: used.append(n))
+    monkeypatch.setattr(similar, "SENT_TOKENS", 5)
+    assert answers() == inside and not used
+    assert len(inside[0]) == len(inside[1]) == len(table)
