@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from listmill.schema import LISTING_MESSAGE
+from listmill.session import settle, small
 
 
 def read_lake(spark: SparkSession, path: str, topics: list[str] | None = None) -> DataFrame:
@@ -28,8 +29,12 @@ def _typed_as(schema: T.StructType) -> list[Column]:
             if not isinstance(f.dataType, (T.StructType, T.ArrayType, T.MapType)) else F.col(f.name) for f in schema.fields]
 
 
-def _crawl_lines(spark: SparkSession, root: str, glob: str) -> tuple[DataFrame, list[str]]:
-    """All lines with their file, and the files whose first line that is not blank opens an array."""
+# So many files that hold an array are named one by one; the lines of more are gathered by file in tasks.
+NAMED_FILES = 1_000
+
+
+def _crawl_lines(spark: SparkSession, root: str, glob: str) -> tuple[DataFrame, DataFrame]:
+    """All lines with their file and place, and the files whose first line that is not blank opens an array."""
     reader = spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", glob)
     lines = reader.text(root).select(
         "value", F.col("_metadata.file_path").alias("file_path"), F.col("_metadata.file_block_start").alias("start")
@@ -37,9 +42,25 @@ def _crawl_lines(spark: SparkSession, root: str, glob: str) -> tuple[DataFrame,
     filled = lines.where(F.trim("value") != "").withColumn("line", F.monotonically_increasing_id())
     # lines of one split are numbered in order, and the first line is in the first split
     first = filled.groupBy("file_path").agg(F.min_by(F.substring(F.ltrim("value"), 1, 1), F.struct("start", "line")).alias("sign"))
-    # file names only, which the driver lists for any scan of the folder
-    arrays = [r["file_path"] for r in first.where(F.col("sign") == "[").select("file_path").collect()]
-    return lines.select("value", "file_path").where(F.trim("value") != ""), arrays
+    return filled, settle(first.where(F.col("sign") == "[").select("file_path"))
+
+
+def _without(lines: DataFrame, arrays: DataFrame) -> DataFrame:
+    """The lines of the other files."""
+    return lines.join(small(arrays, NAMED_FILES), "file_path", "left_anti")
+
+
+def _array_records(spark: SparkSession, lines: DataFrame, arrays: DataFrame, schema: T.StructType) -> DataFrame:
+    """The records (r) of files that hold an array, with their file. Gathered ones write a number in a text's place as lines do: 12.5 for 12.50."""
+    named = [r["file_path"] for r in arrays.limit(NAMED_FILES + 1).collect()]
+    if not named:
+        return spark.createDataFrame([], T.StructType([T.StructField("r", schema), T.StructField("file_path", T.StringType())]))
+    if len(named) <= NAMED_FILES:
+        # few files may be long: each is parsed as it is read
+        whole = spark.read.option("multiLine", "true").schema(schema).json([unquote(p) for p in named])
+        return whole.select(F.struct(*schema.names).alias("r"), F.col("_metadata.file_path").alias("file_path"))
+    held = lines.join(arrays, "file_path", "left_semi").groupBy("file_path").agg(F.array_sort(F.collect_list(F.struct("start", "line", "value"))).alias("l"))
+    return held.select(F.explode(F.from_json(F.array_join("l.value", "\n"), T.ArrayType(schema))).alias("r"), "file_path")
 
 
 def read_crawl(
@@ -48,19 +69,14 @@ def read_crawl(
     """Crawl files below ``root``, JSON lines or one JSON array per file, with ``file_path`` and ``file_name``.
 
     The first character of a file tells its form. Lines are read as text, which splits and never fails; only files that hold an
-    array are read as a whole. A field of a wrong type is null and its record stays. Lines that hold no record are
+    array are read as a whole. The driver lists the files of the folder, as for any scan, and names no more than NAMED_FILES. A field of a wrong type is null and its record stays. Lines that hold no record are
     left to :func:`crawl_rejects`, unreadable arrays give no rows.
     """
     lines, arrays = _crawl_lines(spark, root, glob)
     lenient = _as_text(schema)
-    parsed = lines.where(~F.col("file_path").isin(arrays)).where(F.col("value").rlike(r"^\s*\{"))
-    parsed = parsed.select(F.from_json("value", lenient).alias("r"), "file_path").where(_filled("r", lenient))
-    rows = parsed.select("r.*", "file_path").select(*_typed_as(schema), "file_path")
-    if arrays:
-        paths = [unquote(p) for p in arrays]
-        whole = spark.read.option("multiLine", "true").schema(lenient).json(paths).select("*", F.col("_metadata.file_path").alias("file_path"))
-        held = whole.select(F.struct(*lenient.names).alias("r"), "file_path").where(_filled("r", lenient))
-        rows = rows.unionByName(held.select("r.*", "file_path").select(*_typed_as(schema), "file_path"))
+    parsed = _without(lines, arrays).where(F.col("value").rlike(r"^\s*\{"))
+    parsed = parsed.select(F.from_json("value", lenient).alias("r"), "file_path").unionByName(_array_records(spark, lines, arrays, lenient))
+    rows = parsed.where(_filled("r", lenient)).select("r.*", "file_path").select(*_typed_as(schema), "file_path")
     return rows.withColumn("file_name", F.element_at(F.split("file_path", "/"), -1))
 
 
@@ -76,7 +92,7 @@ def crawl_rejects(
     lines, arrays = _crawl_lines(spark, root, glob)
     lenient = _as_text(schema)
     record = F.when(F.col("value").rlike(r"^\s*\{"), F.from_json("value", lenient))
-    parsed = lines.where(~F.col("file_path").isin(arrays)).withColumn("r", record)
+    parsed = _without(lines, arrays).withColumn("r", record)
     return parsed.where(F.col("r").isNull() | ~_filled("r", lenient)).select("value", "file_path")
 
 

@@ -131,3 +131,26 @@ def test_upserts_are_written_by_many_tasks(spark, monkeypatch):
     parts = streams._upserts(spark, "")
     assert [p.count() for p in parts] == [12, 12, 4]
     assert parts[0].rdd.getNumPartitions() == 5 and parts[1].rdd.getNumPartitions() == 10
+
+
+def test_many_array_files_are_read_as_few_are(spark, tmp_path, monkeypatch):
+    good = '{"post_id": "%s", "title": "t\\u00e9 \\"%s\\" [x], {y}", "price": %s, "square": %s, "address": {"district": "d"}}'
+    for k in range(6):
+        records = [good % (f"{k}-{j}", j, '"9 m"' if j % 2 else "12.5", "1e3" if j % 3 else "null") for j in range(5)]
+        (tmp_path / f"a{k} b%_batch.json").write_text("\n\n [\n " + ",\n\n  ".join(records) + "\n]\n")
+    (tmp_path / "odd_batch.json").write_text('[{"post_id": "o1", "price": {"a":1}, "title": "kept"}, {"post_id": "o2", "square": {"a": 1}}]')
+    (tmp_path / "plain_batch.json").write_text('[{"post_id": "p1", "address": "no struct", "title": "kept"}, {"post_id": "p2"}]')
+    (tmp_path / "empty_batch.json").write_text("[]")
+    (tmp_path / "torn_batch.json").write_text('[{"post_id": "x1"}, {"post_id": ')
+    (tmp_path / "lines_batch.json").write_text("\n".join(good % (f"l{j}", j, "1", "2") for j in range(4)) + "\n[stray\n{bad\n")
+
+    def answers():
+        rows = files.read_crawl(spark, str(tmp_path))
+        rejects = files.crawl_rejects(spark, str(tmp_path))
+        return sorted(map(repr, rows.collect())), sorted(r.value for r in rejects.collect())
+
+    few = answers()
+    monkeypatch.setattr(files, "NAMED_FILES", 3)
+    # nothing but the few names is brought to the driver
+    assert answers() == few and few[1] == ["[stray", "{bad"]
+    assert len(few[0]) == 6 * 5 + 4 + 4
